@@ -5,6 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscan.llm.packing import pack_documents
+from folioscan.llm.quality_rules import quality_rules
+from folioscan.llm.secrets import secret_scan
 from folioscan.llm.token_counts import token_counts
 
 
@@ -12,9 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048, end=1)
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op10_token_counts,)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_packing, op8_secrets, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
