@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +91,9 @@ class Memo(dict):
         return value
 
 
-def word_hashes(limit: int = 400_000) -> Memo:
-    """64-bit hashes of words, as a Memo."""
+@lru_cache(maxsize=2)
+def word_hashes(limit: int = 300_000) -> Memo:
+    """64-bit hashes of words, as a Memo that a worker keeps from task to task."""
     import xxhash
 
     return Memo(xxhash.xxh3_64_intdigest, limit)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscan.llm.decontam import overlaps
 from folioscan.llm.packing import pack_documents
+from folioscan.llm.quality_model import classify
 from folioscan.llm.quality_rules import quality_rules
 from folioscan.llm.secrets import secret_scan
 from folioscan.llm.token_counts import token_counts
@@ -15,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,9 +33,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_packing, op8_secrets, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op6_packing, op8_secrets, op9_decontamination, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
