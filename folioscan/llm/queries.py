@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscan.llm.decontam import overlaps
+from folioscan.llm.licences import licence_scan
 from folioscan.llm.packing import pack_documents
 from folioscan.llm.quality_model import classify
 from folioscan.llm.quality_rules import quality_rules
 from folioscan.llm.secrets import secret_scan
+from folioscan.llm.sharding import shards
 from folioscan.llm.token_counts import token_counts
 
 
@@ -25,10 +27,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048, end=1)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
@@ -41,5 +51,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op6_packing, op8_secrets, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
