@@ -60,7 +60,7 @@ def canonical_lines(text: Column) -> Column:
 
 def joined(lines: Column) -> Column:
     """Canonical lines as one form, without copyright lines."""
-    return F.array_join(F.filter(F.transform(lines, F.trim), lambda x: (x != "") & ~x.startswith("copyright ") & (x != "copyright")), " ")
+    return F.array_join(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("copyright ") & (x != "copyright")), " ")
 
 
 def spelt(form: Column) -> Column:
@@ -91,7 +91,7 @@ def licence_scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str
     """
     forms = known(docs.sparkSession, licences)
     longest = forms.agg(F.max("n")).first()[0] or 0
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("c")).where("c <> ''")
+    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("c"))
     lines = F.split("c", "\n")
 
     def unit(kind: str, at: Column, form: Column) -> Column:
