@@ -7,12 +7,12 @@ pool of open pieces is bounded by rows and tokens, whatever the input's size.
 
 from __future__ import annotations
 
-import gc
 import itertools
 import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ class Encoder:
     encodes the missing ones from the ranks that the file's merges give.
     """
 
-    def __init__(self, path: str, memo: int = 600_000):
+    def __init__(self, path: str, memo: int = 400_000):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -51,42 +51,46 @@ class Encoder:
         if any(a >= b for a, b in itertools.pairwise(made)):
             raise ValueError("ids must follow the order of the merges")
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.special = special
+        self.raw = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.special = {k: np.array([i], "<u4").tobytes() for k, i in special.items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.first, self.later = Memo(lambda w: self.encode(w), memo // 4), Memo(self._later, memo)
+        self.first, self.later = Memo(self.encode, memo // 8), Memo(self._later, memo)
 
-    def _later(self, word: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        return np.array(self.raw(text), "<u4").tobytes()
+
+    def _later(self, word: str) -> bytes:
         """Ids of a word after a space; marks after letters are pieces of their own."""
         core = word.rstrip(".,;:!?")
         if len(core) < len(word) and core.isalpha():
             return self.later[core] + self.first[word[len(core) :]]
         return self.encode(" " + word)
 
-    def _ids(self, text: str) -> list[int]:
+    def _ids(self, text: str) -> bytes:
         if ODD.search(text):
             parts = SAFE.split(text)
-            return list(itertools.chain(self.encode(parts[0]), *(self.later[p] if len(p) < 100 else self.encode(" " + p) for p in parts[1:])))
-        out: list[int] = []
+            return b"".join([self.encode(parts[0]), *(self.later[p] if len(p) < 100 else self.encode(" " + p) for p in parts[1:])])
+        out: list[bytes] = []
         first, later = self.first.__getitem__, self.later.__getitem__
-        for k, line in enumerate(text.split("\n")):
+        for line in text.split("\n"):
             words = line.split(" ")
-            if k:
-                out += first("\n")
-            out += first(words[0])
-            out.extend(itertools.chain.from_iterable(map(later, words[1:])))
-        return out
+            out += (first("\n"), first(words[0]))
+            out.extend(map(later, words[1:]))
+        return b"".join(out[1:])
 
     def ids(self, text: str, end: int | None = None) -> np.ndarray:
         """Ids of a text, special strings inside it included, and then `end`."""
         if self.at_special and any(s in text for s in self.special):
-            parts = self.at_special.split(text)
-            out = [i for p in parts if p for i in ([self.special[p]] if p in self.special else self._ids(p))]
+            out = b"".join(self.special.get(p) or self._ids(p) for p in self.at_special.split(text) if p)
         else:
-            out = self._ids(text) if text else []
-        if end is not None:
-            out = [*out, end]
-        return np.array(out, "<u4")
+            out = self._ids(text) if text else b""
+        return np.frombuffer(out if end is None else out + np.array([end], "<u4").tobytes(), "<u4")
+
+
+@lru_cache(maxsize=1)
+def text_encoder(path: str) -> Encoder:
+    """One encoder for each worker, kept from task to task."""
+    return Encoder(path)
 
 
 class Packer:
@@ -163,7 +167,6 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 def _run(name: str, encode: Callable, packer: Callable, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, pack = encode(), packer()
-        gc.freeze()
         base = TaskContext.get().partitionId() << 40
         columns: list[list] = [[] for _ in range(8 + with_ids)]
 
@@ -204,7 +207,7 @@ def pack_documents(docs: DataFrame, path: str, tokens: int = 2048, segments: int
     """
 
     def encode():
-        encoder = Encoder(path)
+        encoder = text_encoder(path)
         return lambda batch: ((encoder.ids(t, end), None) for t in strings(batch))
 
     limit = loss_tokens or tokens
@@ -226,7 +229,7 @@ def pack_conversations(turns: DataFrame, path: str, tokens: int = 2048, segments
     whole = kept.groupBy("conv").agg(F.max("doc_id").alias("doc_id"), F.sort_array(F.collect_list("said")).alias("said")).drop("conv")
 
     def encode():
-        encoder = Encoder(path)
+        encoder = text_encoder(path)
 
         def one(said):
             ids = [encoder.ids(x["text"], end) for x in said]
