@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioscan.llm.decontam import overlaps
 from folioscan.llm.licences import licence_scan
+from folioscan.llm.line_dedup import line_dedup
 from folioscan.llm.packing import pack_documents
 from folioscan.llm.quality_model import classify
 from folioscan.llm.quality_rules import quality_rules
@@ -27,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"))
 
@@ -51,5 +56,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
