@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from folioscan.llm.decontam import overlaps
 from folioscan.llm.licences import licence_scan
 from folioscan.llm.line_dedup import line_dedup
+from folioscan.llm.ngram_join import ngram_join
 from folioscan.llm.packing import pack_documents
 from folioscan.llm.quality_model import classify
 from folioscan.llm.quality_rules import quality_rules
@@ -24,6 +25,10 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,5 +61,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_model, op2_ngram_join, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
