@@ -7,11 +7,11 @@ the pairs, the split pattern, the normal form and the special strings.
 
 from __future__ import annotations
 
-import gc
 import heapq
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -95,7 +95,7 @@ class MergeCounter:
 class TextCounter:
     """Counts the tokens of whole texts as the vocabulary file at `path` defines them."""
 
-    def __init__(self, path: str, memo: int = 600_000):
+    def __init__(self, path: str, memo: int = 300_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -142,6 +142,12 @@ class TextCounter:
         return len(parts) - 1 + sum(sum(map(self.words.__getitem__, part.split(by))) for part in parts)
 
 
+@lru_cache(maxsize=1)
+def text_counter(path: str) -> TextCounter:
+    """One counter for each worker, kept from task to task."""
+    return TextCounter(path)
+
+
 CONTROLS = re.compile("[\x1c-\x1f]")
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -156,8 +162,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TextCounter(path)
-        gc.freeze()
+        counter = text_counter(path)
         for batch in batches:
             n = [counter.count(t) for t in strings(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
