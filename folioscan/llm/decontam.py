@@ -195,14 +195,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, least: int = 13, block_
     for index in blocks(benchmark, item_col, item_text, block_bytes):
         sent = spark.sparkContext.broadcast(index)
 
-        def clean(text: pd.Series, sent=sent) -> pd.Series:
-            own, memo, at = sent.value, word_hashes(), 0
-            ok = np.ones(len(text), bool)
-            for part in chunks(((t or "").encode() for t in text), memo):
-                for d, *_ in own.search(part, least):
-                    ok[at + d] = False
-                at += len(part)
-            return pd.Series(ok)
-
-        docs = docs.where(F.pandas_udf(clean, "boolean")(F.col(f"`{text_col}`").cast("string")))
+        docs = docs.where(_cleaner(sent, least)(F.col(f"`{text_col}`").cast("string")))
     return docs
+
+
+def _cleaner(sent, least: int):
+    """A pandas UDF: whether a text overlaps with no item of the index."""
+
+    def clean(text: pd.Series) -> pd.Series:
+        own, memo, at = sent.value, word_hashes(), 0
+        ok = np.ones(len(text), bool)
+        for part in chunks(((t or "").encode() for t in text), memo):
+            for d, *_ in own.search(part, least):
+                ok[at + d] = False
+            at += len(part)
+        return pd.Series(ok)
+
+    return F.pandas_udf(clean, "boolean")
