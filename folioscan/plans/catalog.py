@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -15,19 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def query(name: str, sql: str | None = None):
-    """Register a function of (spark, sf_dir) under a name, with its oracle SQL if there is any."""
+def query(sql: str | None = None):
+    """Register a function of (spark, sf_dir) under its name, with its oracle SQL if there is any."""
 
     def add(f):
-        QUERIES[name] = f
+        QUERIES[f.__name__] = f
         if sql:
-            ORACLE_SQL[name] = sql
+            ORACLE_SQL[f.__name__] = sql
         return f
 
     return add
 
 
-@query("grounding_pairs", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))")
-def grounding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return docs.join(F.broadcast(items.withColumnRenamed("text", "passage")), F.lower("text").contains(F.lower("passage"))).select("doc_id", "item_id")
+from folioscan.plans import corpus_queries, ledger_queries, fixture_queries  # noqa: E402, F401
