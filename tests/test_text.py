@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from folioscan.functions import digest as D
 from folioscan.functions import text as T
 
-PARTED = 'he told them that the ship was sound. \' \n\n[302] "So I spoke; and they swore that they would all return before the spring. Then a long while afterward the wind blew, and my men began to plot among themselves."'
+PARTED = 'he told them all that the ship was sound and ready. \' \n\n[302] "So I spoke; and they swore that they would all return before the spring. Then a long while afterward the wind blew, and my men began to plot among themselves."'
 
 
 @pytest.mark.parametrize(
