@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscan.llm import oracles
 from folioscan.llm.decontam import overlaps
 from folioscan.llm.licences import licence_scan
 from folioscan.llm.line_dedup import line_dedup
@@ -26,7 +27,7 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"))
+    return ngram_join(table(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_model, op2_ngram_join, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_join": oracles.NGRAMS,
+    "op3_quality_rules": oracles.quality(0.05, 0.05),
+    "op5_sharding": oracles.shards(16 << 20),
+    "op7_licences": oracles.LICENCES,
+}
