@@ -73,25 +73,31 @@ def shards(docs: DataFrame, limit_bytes: int = 16 << 20, id_col: str = "doc_id",
     shard is the bucket's hash prefix as a string of `depth` bits ("" for an
     undivided table). No bucket holds more than limit_bytes unless all its
     rows share one id, which no hash bit can split: such a bucket is divided
-    into parts of at most limit_bytes in order of size (part counts from 0;
-    it is 0 elsewhere), and only a single row above the limit exceeds it. A
+    into parts of at most limit_bytes (part is 0 elsewhere; its numbers may
+    have gaps), and only a single row above the limit exceeds it. A
     null text has 0 bytes; null ids hash as the empty string; an empty table
     gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
-    rows = materialise(rows.withColumn("bits", prefix_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), "sizes")
+    # the number of a row is drawn once, before it is written
+    rows = materialise(rows.withColumns({"bits": prefix_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "row": F.monotonically_increasing_id()}), "sizes")
     found = directory(rows.groupBy("bits").agg(F.sum("n_bytes").alias("n_bytes")), limit_bytes)
     depths = [r[0] for r in found.select("depth").distinct().collect()]
     # at most BITS + 1 depths; each row tries them by an equality join on (depth, prefix)
     tries = F.explode(F.array(*[F.struct(F.lit(d).cast("int").alias("depth"), _prefix(F.col("bits"), F.lit(d)).alias("prefix")) for d in sorted(depths)])) if depths else F.explode(F.array(F.struct(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"))))
-    placed = rows.select("doc_id", "n_bytes", "bits", tries.alias("t")).select("doc_id", "n_bytes", "bits", "t.depth", "t.prefix").join(small(found), ["depth", "prefix"])
+    placed = rows.select("doc_id", "n_bytes", "row", tries.alias("t")).select("doc_id", "n_bytes", "row", "t.depth", "t.prefix").join(small(found), ["depth", "prefix"])
     # F.bin drops leading zeros
     shard = F.when(F.col("depth") == 0, "").otherwise(F.substring(F.lpad(F.bin("prefix"), BITS, "0"), BITS + 1 - F.col("depth"), F.col("depth")))
     whole = placed.where(F.col("shard_bytes") <= limit_bytes).select("doc_id", "n_bytes", "depth", shard.alias("shard"), F.lit(0).cast("long").alias("part"))
-    before = F.sum("n_bytes").over(Window.partitionBy("depth", "prefix").orderBy("n_bytes", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    single = placed.where(F.col("shard_bytes") > limit_bytes).withColumn("sum", before)
-    # a part ends before its running sum passes half the limit again, so that two halves and no more meet in one
-    over = single.select("doc_id", "n_bytes", "depth", shard.alias("shard"), F.floor((F.col("sum") - F.col("n_bytes")) / F.greatest(F.lit(limit_bytes // 2), F.lit(1))).cast("long").alias("part"))
+    # rows of one id: dealt by their numbers into about half a limit each, so that no task gets them all
+    half = max(1, limit_bytes // 2)
+    deals = F.greatest(F.ceil(F.col("shard_bytes") / half), F.lit(1)).cast("long")
+    single = placed.where(F.col("shard_bytes") > limit_bytes).withColumn("deals", deals).withColumn("deal", F.pmod(F.xxhash64("row"), F.col("deals")))
+    order = Window.partitionBy("depth", "prefix", "deal").orderBy("n_bytes", "row")
+    before = F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_bytes")
+    # small rows that start in one half share a part, larger ones are parts of their own
+    at = F.when(F.col("n_bytes") <= half, 2 * F.floor(before / half)).otherwise(2 * F.row_number().over(order) + 1)
+    over = single.withColumn("at", at).select("doc_id", "n_bytes", "depth", shard.alias("shard"), (F.col("deal") + F.col("deals") * F.col("at")).cast("long").alias("part"))
     return whole.unionByName(over)
 
 

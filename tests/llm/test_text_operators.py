@@ -197,12 +197,12 @@ def test_sharding(docs, corpus, limit):
 
 
 def test_sharding_one_key(spark):
-    rows = spark.createDataFrame([(7, "x" * 100)] * 50 + [(8, "y" * 10)], "doc_id long, text string")
+    rows = spark.createDataFrame([(7, "x" * 100)] * 50 + [(7, "z" * 900)] * 3 + [(8, "y" * 10)], "doc_id long, text string")
     got = sharding.shards(rows, 1000).collect()
     size = {}
     for r in got:
         size[r.shard, r.part] = size.get((r.shard, r.part), 0) + r.n_bytes
-    assert len(got) == 51 and max(size.values()) <= 1000
+    assert len(got) == 54 and max(size.values()) <= 1000
 
 
 def test_write_shards(docs, spark, tmp_path):
