@@ -35,8 +35,9 @@ MISMATCH = -4
 
 
 def tokens(data: bytes) -> list[bytes]:
-    """Words in lower case (A to Z) without ASCII punctuation."""
-    return data.lower().translate(None, PUNCTUATION).split()
+    """Words in lower case without ASCII punctuation."""
+    low = data if data.isascii() else data.decode("utf-8", "replace").lower().encode()
+    return low.lower().translate(None, PUNCTUATION).split()
 
 
 def seeds(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:

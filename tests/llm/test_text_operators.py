@@ -228,6 +228,13 @@ def test_decontamination(spark):
     assert clean == {i for i, _ in rows} - {i for i, _ in got}
 
 
+def test_passages_in_capitals(spark):
+    item = "La éai ñonleeau pour ançonqueê aivi, ÉENAItre le ües ôt la cion miírr oñes de que lldo."
+    docs = spark.createDataFrame([(1, "And. " + item.upper().replace(" ", "!! ") + " end"), (2, prose(1, 50))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.overlaps(docs, bench).collect()] == [(1, 7)]
+
+
 def test_seed_hits_against_brute_force():
     r = random.Random(5)
     item = [f"w{r.randrange(40)}".encode() for _ in range(30)]
