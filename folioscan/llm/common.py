@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -80,9 +81,20 @@ def raw(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
 class Memo(dict):
     """A dict that computes missing entries and forgets all of them when there are too many."""
 
+    #: All memos of this process.
+    made: ClassVar[list[Memo]] = []
+
     def __init__(self, compute, limit: int = 400_000):
         super().__init__()
         self.compute, self.limit = compute, limit
+        Memo.made.append(self)
+
+    @classmethod
+    def only(cls, *kept: Memo) -> None:
+        """Empty all other memos, as a worker serves one stage after another."""
+        for memo in cls.made:
+            if not any(memo is k for k in kept):
+                memo.clear()
 
     def __missing__(self, key):
         if len(self) >= self.limit:
@@ -91,12 +103,18 @@ class Memo(dict):
         return value
 
 
-@lru_cache(maxsize=2)
-def word_hashes(limit: int = 300_000) -> Memo:
-    """64-bit hashes of words, as a Memo that a worker keeps from task to task."""
+@lru_cache(maxsize=1)
+def _word_hashes() -> Memo:
     import xxhash
 
-    return Memo(xxhash.xxh3_64_intdigest, limit)
+    return Memo(xxhash.xxh3_64_intdigest, 150_000)
+
+
+def word_hashes() -> Memo:
+    """64-bit hashes of words, as a Memo that a worker keeps from task to task; other memos are emptied."""
+    memo = _word_hashes()
+    Memo.only(memo)
+    return memo
 
 
 def hashed(words: list[bytes], memo: Memo) -> np.ndarray:

@@ -88,11 +88,17 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def text_encoder(path: str) -> Encoder:
-    """One encoder for each worker, kept from task to task."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def text_encoder(path: str) -> Encoder:
+    """One encoder for each worker, kept from task to task; other memos are emptied."""
+    encoder = _encoder(path)
+    Memo.only(encoder.first, encoder.later)
+    return encoder
+
+
 class Packer:
     """Fills sequences from a pool by the dot-product heuristic.
 

@@ -109,11 +109,17 @@ def shape(word: bytes) -> bytes:
 
 
 @lru_cache(maxsize=1)
-def features() -> Features:
-    """One Features for each worker, kept from task to task."""
+def _features() -> Features:
     return Features()
 
 
+def features() -> Features:
+    """One Features for each worker, kept from task to task; other memos are emptied."""
+    f = _features()
+    Memo.only(f.memo, f.slots)
+    return f
+
+
 class Features:
     def __init__(self):
         self.memo = word_hashes()

@@ -143,11 +143,17 @@ class TextCounter:
 
 
 @lru_cache(maxsize=1)
-def text_counter(path: str) -> TextCounter:
-    """One counter for each worker, kept from task to task."""
+def _counter(path: str) -> TextCounter:
     return TextCounter(path)
 
 
+def text_counter(path: str) -> TextCounter:
+    """One counter for each worker, kept from task to task; other memos are emptied."""
+    counter = _counter(path)
+    Memo.only(counter.pieces, counter.words)
+    return counter
+
+
 CONTROLS = re.compile("[\x1c-\x1f]")
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
