@@ -1,0 +1,45 @@
+"""The whole job against brute force, where a filter could take a part of it away."""
+
+import itertools
+
+from planted import edited, prose
+from test_groups import Groups, coded_distance, words_of
+
+from folioscan.llm import line_dedup
+
+
+def gone(rows):
+    return {(r.doc_id, int(x)) for r in rows for x in r.removed.split(",") if x}
+
+
+def brute_gone(texts, least_words=10):
+    """(doc_id, line) of all lines that exact repeats or an edit similarity of 0.75 join to an earlier one."""
+    at = {}
+    for i, t in texts:
+        for pos, x in enumerate((t or "").split("\n")):
+            if len(words_of(x)) >= least_words:
+                at.setdefault(tuple(words_of(x)), []).append((i, pos))
+    groups = Groups()
+    for a, b in itertools.combinations(at, 2):
+        longer = max(len(a), len(b))
+        if 4 * min(len(a), len(b)) >= 3 * longer and 4 * coded_distance(a, b) <= longer:
+            groups.join(a, b)
+    held = {}
+    for w, places in at.items():
+        held.setdefault(groups.find(w), []).extend(places)
+    return {x for places in held.values() for x in sorted(places)[1:]}
+
+
+def test_every_similar_line_is_found(spark):
+    """Copies with up to a quarter of the words changed, inserted or left out, far beyond three bits of a SimHash."""
+    rows = []
+    for i in range(60):
+        n = 10 + 3 * (i % 15)
+        line = prose(i, n)
+        rows += [(10 * i, line), (10 * i + 1, edited(line, i, 0.05 * (1 + i % 5))), (10 * i + 2, "more words " + " ".join(line.split()[: n - n // 8]))]
+    rows += [(2000 + i, "the of and " * 4 + prose(i % 4, 3 + i % 5)) for i in range(24)] + [(3000, "spam " * 12), (3001, "spam " * 9 + "ham " * 3), (3002, "spam " * 8 + "ham " * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_gone(rows)
+    assert len(want) > 60
+    assert gone(line_dedup.line_dedup(docs, radius=None).collect()) == want
+    assert gone(line_dedup.line_dedup(docs).collect()) < want
