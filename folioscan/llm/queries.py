@@ -35,7 +35,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents"), radius=None)
+    return line_dedup(table(spark, sf_dir, "documents"), radius=None, short_repeats=True)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

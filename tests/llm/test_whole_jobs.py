@@ -43,3 +43,16 @@ def test_every_similar_line_is_found(spark):
     assert len(want) > 60
     assert gone(line_dedup.line_dedup(docs, radius=None).collect()) == want
     assert gone(line_dedup.line_dedup(docs).collect()) < want
+
+
+def test_exact_repeats_of_short_lines(spark):
+    """Lines of any length with equal words are repeats; below ten words near copies are none."""
+    nine = "one two three four five six seven eight nine"
+    rows = [(1, f"Home\n{nine}\n\n---\n{prose(1, 12)}"), (2, f"home!\n{nine.upper()}.\n\n---\n{prose(1, 12)}"), (3, "one two three four five six seven eight ten\nHOME"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(2, 0), (2, 1), (2, 4), (3, 1)}
+    for radius in (None, line_dedup.RADIUS):
+        assert gone(line_dedup.line_dedup(docs, radius=radius, short_repeats=True).collect()) == want
+    clean = {r.doc_id: r.text for r in line_dedup.without_repeats(docs, radius=None, short_repeats=True).collect()}
+    assert clean[2] == "\n---" and clean[3] == rows[2][1].split("\n")[0]
+    assert gone(line_dedup.line_dedup(docs, radius=None).collect()) == {(2, 4)}
