@@ -56,3 +56,25 @@ def test_exact_repeats_of_short_lines(spark):
     clean = {r.doc_id: r.text for r in line_dedup.without_repeats(docs, radius=None, short_repeats=True).collect()}
     assert clean[2] == "\n---" and clean[3] == rows[2][1].split("\n")[0]
     assert gone(line_dedup.line_dedup(docs, radius=None).collect()) == {(2, 4)}
+
+
+def test_long_lines_by_edits(spark, monkeypatch):
+    """One word in ten substituted: edit similarity 0.9, far fewer common runs of five words."""
+    monkeypatch.setattr(line_dedup, "LONG", 50)
+    near, far = prose(1, 200).split(), prose(2, 200).split()
+    near[5::10], far[1::3] = [f"other{k}" for k in range(20)], [f"other{k}" for k in range(67)]
+    docs = spark.createDataFrame([(1, prose(1, 200)), (2, " ".join(near)), (3, prose(2, 200)), (4, " ".join(far))], "doc_id long, text string")
+    assert gone(line_dedup.line_dedup(docs, radius=None).collect()) == {(2, 0)}
+
+
+def test_limit_of_the_edit_similarity(spark):
+    """Up to a quarter of the longer line's words, at either side of LONG."""
+    for n in (40, line_dedup.LONG + 4):
+        words = [f"w{k}" for k in range(n)]
+        for edits, want in ((n // 40, True), (n // 4, True), (n // 4 + 1, False)):
+            if n > 100 and edits != n // 40:
+                continue  # full bands of long lines take long
+            other = ["x" if k % (n // edits) == 0 and k // (n // edits) < edits else w for k, w in enumerate(words)]
+            row = spark.createDataFrame([(" ".join(words), " ".join(other))], "a string, b string")
+            same = line_dedup.similar(*(line_dedup.coded(line_dedup.words_of(row[c])) for c in "ab"), 0.75)
+            assert row.select(same).first()[0] is want
