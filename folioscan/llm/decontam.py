@@ -3,8 +3,10 @@
 A seed is a fixed mask over consecutive tokens; the hash of a window uses the
 positions marked 1 and ignores the others, so a substituted token at an
 ignored position still hits. Hits between a benchmark item and a text lie on
-a diagonal; along it, the best run (a match counts 1, a substitution -4, so
-at least four in five tokens agree) is the verified overlap.
+a diagonal; along it, the longest window of which at least four in five tokens
+agree is the verified overlap. Any window of six tokens or more that agrees so
+far has four equal tokens in a row, or two, any one and two more: if no run is
+longer than three, there are at least two neighbouring runs of two or three.
 
 The benchmark is the small side: it is taken to the tasks in blocks of a
 bounded number of bytes, and all documents are scanned against each block.
@@ -23,9 +25,11 @@ from pyspark.sql import functions as F
 
 from folioscan.llm.common import Memo, hashed, mixed, multipliers, raw, texts, word_hashes
 
-#: Fixed masks, all of the same span.
-MASKS = ("111011011011", "110110111101", "101111010111", "111101101110")
-SPAN = len(MASKS[0])
+#: Fixed masks that serve windows of LEAST_SEEDED tokens or more.
+MASKS = ("1111", "11011")
+LEAST_SEEDED = 6
+#: Masks for items of five tokens, of which one may differ; shorter ones must be equal.
+FIVE = ("1111", "01111", "10111", "11011", "11101")
 PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 #: Bytes of benchmark text in one block.
 BLOCK_BYTES = 32 << 20
@@ -55,7 +59,7 @@ def seeds(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The seeds of a block of items, sorted, by mask; items shorter than a mask have one full-length seed."""
+    """The seeds of a block of items, sorted, by mask; items of fewer than LEAST_SEEDED tokens have masks of their own."""
 
     ids: np.ndarray
     items: list[np.ndarray]
@@ -65,12 +69,13 @@ class Index:
     def of(cls, rows: list[tuple[int, str | None]]) -> Index:
         memo = word_hashes()
         items = [hashed(tokens((t or "").encode()), memo) for _, t in rows]
-        short = sorted({len(x) for x in items if 0 < len(x) < SPAN})
+        served = [(mask, range(LEAST_SEEDED, 1 << 62)) for mask in MASKS]
+        served += [(mask, range(5, 6)) for mask in FIVE] + [("1" * n, range(n, n + 1)) for n in range(1, 5)]
         tables = []
-        for salt, mask in enumerate([*MASKS, *("1" * n for n in short)], 1):
+        for salt, (mask, sizes) in enumerate(served, 1):
             keys, item, at = [], [], []
             for k, x in enumerate(items):
-                if (len(x) >= SPAN) if salt <= len(MASKS) else (len(x) == len(mask)):
+                if len(x) in sizes:
                     found = seeds(x, mask, salt)
                     keys.append(found)
                     item.append(np.full(len(found), k, np.int32))
@@ -102,16 +107,33 @@ class Index:
                     found.append(np.unique(np.stack([doc[pos[each]], item[slot], pos[each] - at[slot]], axis=1), axis=0))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
+    def plausible(self, hits: np.ndarray, hashes: np.ndarray, doc: np.ndarray, least: int) -> np.ndarray:
+        """The hits on whose diagonals as many tokens are equal as the shortest window must have."""
+        size = np.array([len(x) for x in self.items])
+        first, flat = np.cumsum(size) - size, np.concatenate(self.items)
+        kept, ends = [], np.cumsum(size[hits[:, 1]])
+        for part in np.split(hits, np.flatnonzero(np.diff(ends // CHUNK)) + 1):
+            n = size[part[:, 1]]
+            of = np.repeat(np.arange(len(part)), n)
+            j = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            at = part[of, 2] + j
+            ok = (at >= 0) & (at < len(hashes))
+            at = np.where(ok, at, 0)
+            same = ok & (doc[at] == part[of, 0]) & (flat[first[part[of, 1]] + j] == hashes[at])
+            shortest = np.minimum(n, least)
+            kept.append(part[5 * np.bincount(of, same, len(part)) >= 4 * shortest])
+        return np.concatenate(kept)
+
     def overlap(self, text: np.ndarray, item: int, diagonal: int) -> tuple[int, int, int]:
-        """(start, end, matches) of the best run of the item along a diagonal of the text."""
+        """(start, end, matches) of the longest window of the item along a diagonal of the text with four in five tokens equal, the first of equal ones."""
         x = self.items[item]
         low, high = max(0, -diagonal), min(len(x), len(text) - diagonal)
         gain = np.where(x[low:high] == text[low + diagonal : high + diagonal], 1, MISMATCH)
         total = np.concatenate([[0], np.cumsum(gain)])
-        best = total - np.minimum.accumulate(total)
-        end = int(best.argmax())
-        start = int(total[: end + 1].argmin())
-        start = end - int(total[: end + 1][::-1].argmin())
+        # for each end, the first start from which the sum isn't negative
+        starts = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+        end = int((np.arange(len(total)) - starts).argmax())
+        start = int(starts[end])
         return low + diagonal + start, low + diagonal + end, int((gain[start:end] == 1).sum())
 
     def search(self, batch: list[np.ndarray], least: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -121,7 +143,11 @@ class Index:
         doc = np.repeat(np.arange(len(batch)), [len(x) for x in batch])
         first = np.cumsum([0, *(len(x) for x in batch)])
         best: dict[tuple[int, int], tuple] = {}
-        for d, item, diagonal in self.hits(np.concatenate(batch), doc).tolist():
+        hashes = np.concatenate(batch)
+        hits = self.hits(hashes, doc)
+        if not len(hits):
+            return
+        for d, item, diagonal in self.plausible(hits, hashes, doc, least).tolist():
             start, end, same = self.overlap(batch[d], item, diagonal - int(first[d]))
             if same and end - start >= min(least, len(self.items[item])):
                 rank = (same, -start)
@@ -163,7 +189,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, block_bytes
 
     doc_id, item_id, start and end in tokens of the document (end exclusive),
     n_matches, item_tokens. An overlap has at least `least` tokens, or the
-    whole of a shorter item, at least four in five of them equal. Null and
+    whole of a shorter item, at least four in five of them equal; every such
+    pair is found if `least` is at least LEAST_SEEDED. It is the longest
+    window on its diagonal, and of several diagonals the one with the most
+    equal tokens. Null and
     empty texts on either side and items without an id overlap with nothing; a
     null doc_id stays null; repeated rows of docs give repeated rows; equal
     rows of the benchmark count once; ties go to the earliest place. No

@@ -1,11 +1,12 @@
 """The whole job against brute force, where a filter could take a part of it away."""
 
 import itertools
+import random
 
 from planted import edited, prose
 from test_groups import Groups, coded_distance, words_of
 
-from folioscan.llm import line_dedup
+from folioscan.llm import decontam, line_dedup
 
 
 def gone(rows):
@@ -78,3 +79,46 @@ def test_limit_of_the_edit_similarity(spark):
             row = spark.createDataFrame([(" ".join(words), " ".join(other))], "a string, b string")
             same = line_dedup.similar(*(line_dedup.coded(line_dedup.words_of(row[c])) for c in "ab"), 0.75)
             assert row.select(same).first()[0] is want
+
+
+def test_masks_meet_every_window():
+    """Whatever fifth of a window's tokens is substituted, a mask hits; longer windows hold one of these lengths that agrees as far."""
+    for n in range(5, 26):
+        masks = decontam.FIVE if n == 5 else decontam.MASKS
+        patterns = [(sum(1 << k for k, c in enumerate(m) if c == "1"), n - len(m) + 1) for m in masks]
+        for lost in itertools.combinations(range(n), n // 5):
+            equal = (1 << n) - 1 - sum(1 << k for k in lost)
+            assert any(equal >> at & m == m for m, places in patterns for at in range(places)), (n, lost)
+
+
+def brute_overlap(text, item, least):
+    """Whether any window of both has the least number of tokens, or the item's, and four in five equal."""
+    need = min(least, len(item))
+    for diagonal in range(-len(item) + 1, len(text)):
+        low, high = max(0, -diagonal), min(len(item), len(text) - diagonal)
+        same = [item[k] == text[k + diagonal] for k in range(low, high)]
+        if any(5 * sum(same[a:b]) >= 4 * (b - a) for a in range(len(same)) for b in range(a + need, len(same) + 1)):
+            return True
+    return False
+
+
+def test_substituted_passages_against_brute_force():
+    """Substitutions anywhere, near the ends too, up to and just over a fifth of the tokens."""
+    r = random.Random(8)
+    memo = decontam.word_hashes()
+    found = 0
+    for k in range(600):
+        n = [4, 5, 6, 9, 12, 13, 14, 15, 16, 20, 30][k % 11]
+        item = [f"w{r.randrange(60)}".encode() for _ in range(n)]
+        copy = list(item)
+        places = range(r.randrange(5), n, 5) if k % 3 == 0 else r.sample(range(n), min(n, n // 5 + (k % 4 == 1)))
+        for at in places:
+            copy[at] = b"other"
+        text = [f"v{r.randrange(60)}".encode() for _ in range(r.randrange(6))] + copy + [f"v{r.randrange(60)}".encode() for _ in range(r.randrange(6))]
+        index = decontam.Index.of([(1, b" ".join(item).decode())])
+        got = list(index.search([decontam.hashed(x, memo) for x in (item[::-1][:3], text)], 13))
+        assert any(d == 1 for d, *_ in got) == brute_overlap(text, item, 13), (item, text)
+        for d, _, start, end, same in got:
+            assert end - start >= min(13, n) and 5 * same >= 4 * (end - start)
+        found += bool(got)
+    assert 300 < found < 600
