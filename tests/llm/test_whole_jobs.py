@@ -6,7 +6,7 @@ import random
 from planted import edited, prose
 from test_groups import Groups, coded_distance, words_of
 
-from folioscan.llm import decontam, line_dedup
+from folioscan.llm import decontam, line_dedup, ngram_join
 
 
 def gone(rows):
@@ -122,3 +122,15 @@ def test_substituted_passages_against_brute_force():
             assert end - start >= min(13, n) and 5 * same >= 4 * (end - start)
         found += bool(got)
     assert 300 < found < 600
+
+
+def test_one_row_of_every_component(spark):
+    """Null and repeated ids take no document of another component away."""
+    copied = prose(900, 60)
+    rows = [(None, prose(i, 40)) for i in range(20)] + [(7, prose(100 + i, 40)) for i in range(20)]
+    rows += [(None, prose(0, 40)), (7, prose(100, 40)), (3, prose(100, 40))]  # repeated rows, and a copy with a smaller id
+    rows += [(None, copied), (5, copied), (6, edited(copied, 1, 0.01)), (8, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id or 0, r.text or "") for r in ngram_join.one_of_each(docs).collect())
+    want = [(0, prose(i, 40)) for i in range(20)] + [(7, prose(100 + i, 40)) for i in range(1, 20)] + [(3, prose(100, 40)), (0, copied), (8, ""), (0, "")]
+    assert got == sorted(want)
