@@ -9,7 +9,11 @@ plans only.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+import textwrap
+from functools import lru_cache, reduce
+from itertools import product
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +53,15 @@ KNOWN = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: Whole licence texts, named by SPDX identifier (and ~number for another edition), that ship with the package.
+TEXTS = Path(__file__).parent / "licence_texts"
+#: Titles that stand above short licences, besides none.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"), "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD License"), "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD License"), "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"), "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: Widths at which short licences are wrapped; a line that happens to begin with "copyright" is left out of a form.
+WIDTHS = (*range(50, 101), 10**6)
 #: Marks of a copyright line that are not words.
 HOLDER = ("©", "(c)")
 
@@ -70,9 +83,37 @@ def spelt(form: Column) -> Column:
     return F.when(marks, F.trim(padded)).otherwise(form)
 
 
+def _own_lines(text: str) -> list[str]:
+    """The lines that aren't left out as copyright lines."""
+    return [x for x in text.split("\n") if not re.match(r"[^a-z0-9]*(copyright\b|\(c\)|©)", x.lower())]
+
+
+@lru_cache(maxsize=1)
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of whole licences: as shipped, and the short ones with and without title, numbers and reservation, wrapped at many widths; Apache-2.0 without its appendix too."""
+    out = set()
+    for path in sorted(TEXTS.glob("*.txt")):
+        name, text = path.stem.split("~")[0], path.read_text(encoding="utf-8")
+        out.add((name, text))
+        if name == "Apache-2.0":
+            out.add((name, text.split("APPENDIX: How to apply")[0]))
+        if name not in TITLES:
+            continue
+        body = "\n".join(_own_lines(text)).strip()
+        if body.split("\n")[0].strip().lower() in {t.lower() for t in TITLES[name]}:
+            body = body.split("\n", 1)[1].strip()
+        plain = re.sub(r"(?m)^\s*\(?[0-9]\W\s*", "", body)
+        wraps = set()
+        for x, width in product((body, plain), WIDTHS):
+            parts = [" ".join(p.split()) for p in re.split(r"\n\s*\n|\n(?=\s*[0-9]\. )", x)]
+            wraps.add(" ".join(_own_lines("\n".join(textwrap.fill(p, width, break_long_words=False) for p in parts))))
+        out |= {(name, "\n".join(filter(None, head)) + "\n" + w) for w in wraps for head in product(("", *TITLES[name]), ("", "All rights reserved."))}
+    return tuple(sorted(out))
+
+
 def known(spark: SparkSession, licences: DataFrame | None = None) -> DataFrame:
-    """digest, licence and length of the known texts' forms; licences: rows of (licence, text) to use in place of KNOWN."""
-    rows = spark.createDataFrame(list(KNOWN), "licence string, text string") if licences is None else licences.select("licence", "text")
+    """digest, licence and length of the known texts' forms; licences: rows of (licence, text) to use in place of KNOWN and whole_texts()."""
+    rows = spark.createDataFrame([*KNOWN, *whole_texts()], "licence string, text string") if licences is None else licences.select("licence", "text")
     forms = rows.where("text IS NOT NULL").select("licence", canonical_lines(F.col("text")).alias("c")).select("licence", joined(F.split("c", "\n")).alias("form"))
     forms = forms.select("licence", spelt(F.col("form")).alias("form")).where("form <> ''")
     # one licence for each form, the first by name

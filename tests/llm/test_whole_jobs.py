@@ -2,11 +2,12 @@
 
 import itertools
 import random
+import textwrap
 
 from planted import edited, prose
 from test_groups import Groups, coded_distance, words_of
 
-from folioscan.llm import decontam, line_dedup, ngram_join
+from folioscan.llm import decontam, licences, line_dedup, ngram_join
 
 
 def gone(rows):
@@ -134,3 +135,18 @@ def test_one_row_of_every_component(spark):
     got = sorted((r.doc_id or 0, r.text or "") for r in ngram_join.one_of_each(docs).collect())
     want = [(0, prose(i, 40)) for i in range(20)] + [(7, prose(100 + i, 40)) for i in range(1, 20)] + [(3, prose(100, 40)), (0, copied), (8, ""), (0, "")]
     assert got == sorted(want)
+
+
+def test_whole_licence_files(spark):
+    """Full LICENSE files as they are found, in other wraps and with other holders."""
+    read = lambda name: (licences.TEXTS / f"{name}.txt").read_text(encoding="utf-8")
+    mit = read("MIT").split("\n\n", 2)[2]
+    files = [("MIT", "MIT License\n\nCopyright (c) 2021 Some One\n\n" + mit), ("MIT", "The MIT License (MIT)\n\nCopyright (c) Others\n\n" + "\n\n".join(textwrap.fill(x, 55) for x in mit.split("\n\n"))), ("MIT", "Copyright 2014 X\n\n" + mit)]
+    isc = read("ISC")
+    files += [("ISC", "ISC License\n\nCopyright (c) 2020, X\n\n" + "\n\n".join(textwrap.fill(x, w) for x in isc.split("\n\n")[-2:])) for w in (72, 76, 80)]
+    files += [(n, f"Copyright (c) 2019, X\nAll rights reserved.\n\n{read(n)}") for n in ("BSD-3-Clause", "BSD-2-Clause")] + [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2019, X\n\n" + read("BSD-3-Clause").replace("1.", "*").replace("2.", "*").replace("3.", "*"))]
+    files += [(p.stem.split("~")[0], p.read_text(encoding="utf-8")) for p in sorted(licences.TEXTS.glob("*.txt"))]
+    files += [("Apache-2.0", read("Apache-2.0").split("APPENDIX")[0])]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(files)] + [(900, read("GPL-3.0")[:20000])], "doc_id long, text string")
+    got = {r.doc_id: r.licence for r in licences.licence_scan(docs).where("unit = 'text'").collect()}
+    assert got == {k: n for k, (n, _) in enumerate(files)}
