@@ -29,7 +29,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "random")
-LEAST = 20
 
 LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Alphabets from the smallest to the largest; the first that holds a string is inferred.
@@ -39,7 +38,7 @@ LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60,
 #: Chance of a change of class between neighbours, and the serial correlation, in ordinary text.
 CHANGES, SERIAL = 0.12, 0.35
 #: Bands of lengths with their prior weights; longer strings carry more evidence.
-BANDS = ((20, 0.5), (24, 0.8), (32, 1.2), (48, 1.5), (64, 1.5))
+BANDS = ((16, 0.3), (20, 0.5), (24, 0.8), (32, 1.2), (48, 1.5), (64, 1.5))
 STEPS, DEPTH = 10, 400
 
 
@@ -113,7 +112,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings(batch), strict=True):
             spans, runs = base_spans(text)
-            found = [(m.start(), m.end()) for m in runs if m.end() - m.start() >= LEAST and not any(a < m.end() and b > m.start() for a, _, b in spans)]
+            found = [(m.start(), m.end()) for m in runs if not any(a < m.end() and b > m.start() for a, _, b in spans)]
             bands = [max(i for i, (least, _) in enumerate(BANDS) if b - a >= least) for a, b in found]
             bins = [max(-DEPTH, math.ceil(battery(text[a:b]) * STEPS)) for a, b in found]
             base = joined(spans)

@@ -7,7 +7,7 @@ import textwrap
 from planted import edited, prose
 from test_groups import Groups, coded_distance, words_of
 
-from folioscan.llm import decontam, licences, line_dedup, ngram_join
+from folioscan.llm import decontam, licences, line_dedup, ngram_join, secrets
 
 
 def gone(rows):
@@ -150,3 +150,16 @@ def test_whole_licence_files(spark):
     docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(files)] + [(900, read("GPL-3.0")[:20000])], "doc_id long, text string")
     got = {r.doc_id: r.licence for r in licences.licence_scan(docs).where("unit = 'text'").collect()}
     assert got == {k: n for k, (n, _) in enumerate(files)}
+
+
+def test_short_random_keys(spark):
+    """Random runs of 16 to 19 characters outside an assignment are judged too, ordinary words of that length stay out."""
+    r = random.Random(11)
+    alphabet = secrets.ALPHABETS[-2]
+    rows = [(i, f"{prose(i, 20)} {''.join(r.choices(alphabet, k=16 + i % 4))} {prose(i + 1, 20)}") for i in range(400)]
+    words = ["responsibilities", "internationalise", "misunderstandings", "disproportionate", "characterisations", "telecommunication", "uncharacteristic"]
+    rows += [(1000 + i, f"{prose(i, 20)} {words[i % len(words)]}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.spans for x in secrets.secret_scan(docs).collect()}
+    assert sum("random" in got[i] for i in range(400)) > 200
+    assert not any("random" in got[1000 + i] for i in range(200))
