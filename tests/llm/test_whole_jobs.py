@@ -5,7 +5,7 @@ import random
 import textwrap
 
 from planted import edited, prose
-from test_groups import Groups, coded_distance, words_of
+from test_groups import Groups, coded_distance, shingle_set, words_of
 
 from folioscan.llm import decontam, licences, line_dedup, ngram_join, secrets
 
@@ -163,3 +163,16 @@ def test_short_random_keys(spark):
     got = {x.doc_id: x.spans for x in secrets.secret_scan(docs).collect()}
     assert sum("random" in got[i] for i in range(400)) > 200
     assert not any("random" in got[1000 + i] for i in range(200))
+
+
+def test_every_link_is_counted(spark, docs, corpus):
+    """Links within a group that others connect count too."""
+    sets = {i: shingle_set(t) for i, t, _ in corpus}
+    linked = {x: 0 for x in sets.values()}
+    for x, y in itertools.combinations(linked, 2):
+        if x and y and 100 * len(x & y) >= 75 * len(x | y):
+            linked[x] += 1
+            linked[y] += 1
+    got = {r.doc_id: r.n_links for r in ngram_join.link_counts(docs).collect()}
+    assert got == {i: linked[x] for i, x in sets.items()}
+    assert ngram_join.ngram_links(docs).distinct().count() == ngram_join.ngram_links(docs).count() == sum(linked.values()) // 2
