@@ -58,7 +58,7 @@ def repair_json(reply: str | None):
 
 def worker_json(reply: str | None):
     """A worker's packet: fences off, cut to the protocol's opener."""
-    text = re.sub(r"\A```(?:json)?\s*|\s*```\z".replace(r"\z", r"\Z"), "", (reply or "").strip())
+    text = re.sub(r"\A```(?:json)?\s*|\s*```\Z", "", (reply or "").strip())
     at = text.find(OPENER)
     return next(_objects(text, iter([max(at, 0)]), False), None)
 

@@ -52,6 +52,11 @@ def planning_report(units: DataFrame, readings: DataFrame) -> DataFrame:
     return total.crossJoin(n).select("units", "tokens", "bytes", "unresolved", (F.col("_fs_readings") + 3 * F.col("units")).alias("least_requests"))  # one row each
 
 
+def unresolved(units: DataFrame) -> DataFrame:
+    """unit_id of the units that a plan leaves unresolved."""
+    return units.where("unresolved").select("unit_id")
+
+
 def reuse(specs: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(reused, pending) worker specs: a stored packet without defects and with equal provenance is used again."""
     fit = stored.where("n_defects = 0").select("worker", F.col("provenance").alias("_fs_p"))

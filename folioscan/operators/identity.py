@@ -131,6 +131,27 @@ def report_targets(failures: DataFrame, live: DataFrame, aliases: DataFrame) ->
     return joined.groupBy("worker", "alias").agg(F.min("claim_id").alias("claim_id"), F.count_distinct("claim_id").alias("n"))
 
 
+def legacy_differences(packets: DataFrame, rows: DataFrame) -> DataFrame:
+    """at, check where a packet's claims in order aren't the original ledger's rows: five fields, then the digest.
+
+    Both have at (the place in order), claim, stance, source_file, locator,
+    excerpt and sha256; places are joined, so no task holds a whole history.
+    """
+    fields = ("claim", "stance", "source_file", "locator", "excerpt")
+    old = rows.select("at", *[F.col(c).alias(f"_fs_{c}") for c in (*fields, "sha256")], F.lit(True).alias("_fs_row"))
+    both = packets.withColumn("_fs_claimed", F.lit(True)).join(old, "at", "full_outer")
+    same = F.col("claim").eqNullSafe(F.col("_fs_claim"))
+    for c in fields[1:]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_fs_{c}"))
+    check = F.when(F.col("_fs_row").isNull(), "no row").when(F.col("_fs_claimed").isNull(), "no claim").when(~same, "fields differ").when(~F.col("sha256").eqNullSafe(F.col("_fs_sha256")), "digest differs")
+    return both.select("at", check.alias("check")).where("check IS NOT NULL")
+
+
+def repair_counts(decisions: DataFrame) -> DataFrame:
+    """decision, n of recorded repair decisions."""
+    return decisions.groupBy("decision").agg(F.count("*").alias("n"))
+
+
 def repair_decisions(responses: DataFrame) -> DataFrame:
     """claim_id, decision from recorded proposals: found nothing or not grounded means drop."""
     good = F.coalesce(F.col("found"), F.lit(False)) & F.coalesce(F.col("is_grounded"), F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from folioscan.functions.text import squeezed, unspaced
 from folioscan.operators.checks import defects, duplicates, union, violation
@@ -98,6 +99,46 @@ def packet_defects(claims: DataFrame, packets: DataFrame, least: int | None = No
     return union(bad, each)
 
 
+def multi_witness_defects(
+    claims: DataFrame, packets: DataFrame, claim_types: list[str], variants: dict[str, str | None], template: str, canonical_required: bool, least: int | None = None, most: int | None = None
+) -> DataFrame:
+    """worker, check, ordinal of unusable packets of a project with several witnesses.
+
+    claims has the columns of packet_defects and claim_type, english_witness
+    (struct of translator, source_id, locator, excerpt; null if the packet has
+    no object there) and consulted_is_text. variants: the witnesses'
+    translators by variant, a project's short list; template: a snapshot's
+    name with {n} for the book and {w} for the variant. The rules of
+    packet_defects come first; only packets that pass them are looked at
+    further. A claim may not cite a witness's snapshot as its source.
+    """
+    base = packet_defects(claims, packets, least, most)
+    c = F.col
+    book = F.nullif(F.regexp_extract("source_file", r"book-(\d+)", 1), F.lit("")).cast("decimal(38,0)").cast("string")
+    names = [F.replace(F.replace(F.lit(template), F.lit("{n}"), book), F.lit("{w}"), F.lit(w)) for w in variants]
+    rules = {}
+    if claim_types:
+        rules["claim_type not allowed"] = ~F.coalesce(c("claim_type").isin(*claim_types), F.lit(False))
+    if variants:
+        rules["source_file is a translation witness"] = F.coalesce(c("source_file").isin(*names), F.lit(False))
+    if canonical_required:
+        w = c("english_witness")
+        rules["english_witness is not an object"] = w.isNull()
+        for name in ("translator", "source_id", "locator", "excerpt"):
+            rules[f"english_witness missing {name}"] = w.isNotNull() & blank(w[name])
+        known = [t for t in variants.values() if t is not None]
+        if known:
+            rules["english_witness translator unknown"] = (w["translator"] != "") & ~w["translator"].isin(*known)
+        rules["witnesses_consulted must be a list"] = w.isNotNull() & c("consulted_is_text")
+    if not rules:
+        return base
+    found = F.array_compact(F.array(*[F.when(F.coalesce(b, F.lit(False)), F.lit(k)) for k, b in rules.items()]))
+    more = claims.join(packets.select("worker").distinct(), "worker", "left_semi").select("worker", F.explode(found).alias("check"), (c("pos") + 1).cast("long").alias("ordinal"))
+    both = union(base.withColumn("_fs_level", F.lit(0)), more.withColumn("_fs_level", F.lit(1)))
+    first = F.min("_fs_level").over(Window.partitionBy("worker"))
+    return both.withColumn("_fs_first", first).where("_fs_level = _fs_first").drop("_fs_level", "_fs_first")
+
+
 def any_placeholder(claims: DataFrame) -> DataFrame:
     """The worker's own, stricter rule: rows with a placeholder in any field."""
     test = [F.coalesce(F.col(x).isin(*PLACEHOLDERS), F.lit(False)) for x in PACKET_FIELDS]

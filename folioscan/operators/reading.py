@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -67,6 +69,15 @@ def packed(sections: DataFrame, doc: str, pos: str, tokens: str, target: int) ->
     return folded.select(doc, F.explode("f.rows").alias("r")).select(doc, F.col("r.pos").alias(pos), F.col("r.tokens").alias(tokens), F.col("r.reading").alias("reading"))
 
 
+def with_tokens(rows: DataFrame, text: str, counter: Callable[[Column], Column], name: str = "tokens") -> DataFrame:
+    """rows with the number of tokens of a text by a counter that is given; a null text counts as empty.
+
+    The counter may be any column function: the size of a split, or an Arrow
+    function over a tokenizer's vocabulary.
+    """
+    return rows.withColumn(name, counter(F.coalesce(F.col(text), F.lit(""))).cast("long"))
+
+
 def running_groups(sections: DataFrame, doc: str, pos: str, tokens: str) -> DataFrame:
     """Sections with the tokens before them in their document."""
     before = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
