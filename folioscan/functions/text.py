@@ -77,7 +77,7 @@ def plain_fold(text: Column) -> Column:
     out = F.lower(text)
     for to, chars in PLAIN.items():
         out = F.replace(out, F.lit(chars), F.lit(to)) if len(chars) == 1 else F.translate(out, chars, to * len(chars))
-    out = F.regexp_replace(out, r"(?U)\s+", " ")
+    out = F.regexp_replace(out, r"(?U)[\s\x1C-\x1F]+", " ")
     return F.trim(F.regexp_replace(out, r" ?- ?", "-"))
 
 
@@ -130,7 +130,7 @@ def markdown_text(text: Column) -> Column:
 
 def visible(text: Column) -> Column:
     """Tags as spaces, white space collapsed, lower case: the comparison form of aligned witnesses."""
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^>]+>", " "), r"(?U)\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^>]+>", " "), r"(?U)[\s\x1C-\x1F]+", " ")))
 
 
 def without_markers(text: Column) -> Column:
@@ -140,12 +140,12 @@ def without_markers(text: Column) -> Column:
 
 def squeezed(text: Column) -> Column:
     """White space collapsed and stripped."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1C-\x1F]+", " "))
 
 
 def unspaced(text: Column) -> Column:
     """No white space at all."""
-    return F.regexp_replace(text, r"(?U)\s+", "")
+    return F.regexp_replace(text, r"(?U)[\s\x1C-\x1F]+", "")
 
 
 def wikilinks(text: Column) -> Column:

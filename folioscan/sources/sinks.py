@@ -18,16 +18,27 @@ def write_ledger(rows: DataFrame, dropped: DataFrame, path: str, order: str) ->
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Put a table in the place of another: written whole beside it, then renamed."""
+    """Put a table in the place of another: written whole beside it, then renamed; the old one steps aside and comes back if that fails.
+
+    Where renaming a folder isn't one step (object stores), a table format with
+    its own commits is the way; readers may find no table between the renames.
+    """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     df.write.parquet(staged)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     at, new = hadoop.Path(path), hadoop.Path(staged)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(at, True)
+    aside = hadoop.Path(f"{staged}.old")
+    held = fs.exists(at)
+    if held and not fs.rename(at, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(new, at):
+        if held:
+            fs.rename(aside, at)
         raise OSError(f"could not rename {staged}")
+    if held:
+        fs.delete(aside, True)
 
 
 def new_snapshots(found: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:

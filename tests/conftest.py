@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='folioscan-tests-')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -13,7 +13,7 @@ from folioscan.sources import epub, scan, sinks
 from folioscan.streaming.journal import reservations
 
 CONTAINER = '<container><rootfiles><rootfile full-path="OEBPS/book.opf"/></rootfiles></container>'
-PACKAGE = """<package version="3.0" xmlns:dc="d"><metadata><dc:title>T</dc:title><dc:title>U</dc:title><dc:language>en</dc:language></metadata>
+PACKAGE = """<package version="3.0" xmlns:dc="d"><metadata><dc:title>T<i>bar</i></dc:title><dc:title>U</dc:title><dc:language>en</dc:language></metadata>
 <manifest><item id="a" href="ch1.xhtml" media-type="application/xhtml+xml"/><item id="b" href="ch2.xhtml" media-type="application/xhtml+xml"/><item id="i" href="images/chart.png" media-type="image/png"/></manifest>
 <spine><itemref idref="a"/><itemref idref="b"/></spine></package>"""
 ONE = '<html><head><title>no</title></head><body><h1 id="intro">Introduction</h1><p>Alpha <math>x=1</math> omega.</p><img src="images/chart.png"/><script>no</script></body></html>'
@@ -46,7 +46,7 @@ def book(**change) -> bytes:
 def test_book():
     text, found = epub.book_text(book())
     assert text == TEXT
-    assert found.metadata == {"package_path": "OEBPS/book.opf", "spine_items": "2", "version": "3.0", "title": "T | U", "language": "en"} and found.assets == ["OEBPS/images/chart.png"]
+    assert found.metadata == {"package_path": "OEBPS/book.opf", "spine_items": "2", "version": "3.0", "title": "T bar | U", "language": "en"} and found.assets == ["OEBPS/images/chart.png"]
 
 
 @pytest.mark.parametrize(

@@ -76,3 +76,11 @@ def test_digests(spark):
     rows = spark.createDataFrame([("b", "2" * 64, 0), ("a", "1" * 64, 1)], "p string, d string, o int")
     want = hashlib.sha256(b"b\0" + bytes.fromhex("2" * 64) + b"a\0" + bytes.fromhex("1" * 64)).hexdigest()
     assert rows.agg(D.bundle_digest(F.col("p"), F.col("d"), F.col("o")).alias("x")).first().x == want
+
+
+def test_white_space_is_one_class(spark):
+    """The native and the Python form of folding agree on every control and space character."""
+    spaces = [chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    texts = [f"a{x}{x} b{x}-{x}c" for x in spaces]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", T.fold(F.col("t")).alias("f"))
+    assert {r.id: r.f for r in df.collect()} == {i: T.fold_text(t) for i, t in enumerate(texts)}
