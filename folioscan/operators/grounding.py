@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from folioscan.functions.text import elided_udf, fold, fold_text, grounded, trim_quotes
 
-#: Bytes of quotations that one pass over the sources looks for.
-BLOCK_BYTES = 32 << 20
+#: Bytes of quotations that one pass over the sources looks for; a worker's automaton takes some fifty times as much.
+BLOCK_BYTES = 4 << 20
 
 
 def containment_pairs(sources: DataFrame, quotes: DataFrame, source_id: str, source_text: str, quote_id: str, quote_text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -51,22 +51,24 @@ def overlaps(spans: DataFrame, group: list[str], first: str, last: str) -> DataF
 def packed(sections: DataFrame, doc: str, pos: str, tokens: str, target: int) -> DataFrame:
     """sections with reading (0-based): greedy groups in order, a new one when the sum would pass the target.
 
-    A section above the target by itself stays whole. One fold over each
-    document's ordered array, so documents are the unit of work.
+    A section above the target by itself stays whole. Where a group starts
+    depends on the one before, so that is one fold over each document's
+    ordered array, which keeps the starts only; the numbers are a running count of them.
     """
-    state = "struct<rows:array<struct<pos:bigint,tokens:bigint,reading:bigint>>,sum:bigint,reading:bigint>"
-    start = F.lit(None).cast(state)
+    state = "struct<starts:array<bigint>,sum:bigint>"
 
     def step(a: Column, x: Column) -> Column:
-        fresh = (a["sum"] > 0) & (a["sum"] + x["tokens"] > target)
-        reading = F.when(a.isNull(), F.lit(0).cast("long")).when(fresh, a["reading"] + 1).otherwise(a["reading"])
-        total = F.when(a.isNull() | fresh, x["tokens"]).otherwise(a["sum"] + x["tokens"])
-        row = F.array(F.struct(x["pos"].alias("pos"), x["tokens"].alias("tokens"), reading.alias("reading")))
-        return F.struct(F.when(a.isNull(), row).otherwise(F.concat(a["rows"], row)).alias("rows"), total.alias("sum"), reading.alias("reading")).cast(state)
-
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(pos).cast("long").alias("pos"), F.col(tokens).cast("long").alias("tokens"))))
-    folded = sections.groupBy(doc).agg(ordered.alias("s")).select(doc, F.aggregate("s", start, step).alias("f"))
-    return folded.select(doc, F.explode("f.rows").alias("r")).select(doc, F.col("r.pos").alias(pos), F.col("r.tokens").alias(tokens), F.col("r.reading").alias("reading"))
+        fresh = a["sum"].isNull() | ((a["sum"] > 0) & (a["sum"] + x["tokens"] > target))
+        total = F.when(fresh, x["tokens"]).otherwise(a["sum"] + x["tokens"])
+        return F.struct(F.when(fresh, F.concat(a["starts"], F.array(x["pos"]))).otherwise(a["starts"]).alias("starts"), total.alias("sum")).cast(state)
+
+    rows = sections.select(doc, F.col(pos).cast("long").alias(pos), F.col(tokens).cast("long").alias(tokens))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(tokens).alias("tokens"))))
+    none = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(None).cast("long").alias("sum")).cast(state)
+    folded = rows.groupBy(doc).agg(ordered.alias("_fs_rows")).select(doc, F.explode(F.aggregate("_fs_rows", none, step, lambda a: a["starts"])).alias(pos), F.lit(1).alias("_fs_start"))
+    marked = rows.join(folded, [doc, pos], "left")
+    upto = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    return marked.select(doc, pos, tokens, (F.sum(F.coalesce("_fs_start", F.lit(0))).over(upto) - 1).cast("long").alias("reading"))
 
 
 def with_tokens(rows: DataFrame, text: str, counter: Callable[[Column], Column], name: str = "tokens") -> DataFrame:

@@ -37,10 +37,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Folded text and quotation of every containment pair; only the texts of pairs are joined back."""
+    """Folded text and quotation of every containment pair; only the texts of pairs are joined back and folded again."""
     d, b = docs(spark, sf_dir), table(spark, sf_dir, "benchmark")
     found = grounding.containment_pairs(d, b, "doc_id", "text", "item_id", "text")
-    return found.join(d.select("doc_id", T.fold(F.col("text")).alias("text")), "doc_id").join(b.select("item_id", T.fold(F.col("text")).alias("quote")), "item_id")
+    both = found.join(d.select("doc_id", "text"), "doc_id").join(b.select("item_id", F.col("text").alias("quote")), "item_id")
+    return both.select("doc_id", "item_id", T.fold(F.col("text")).alias("text"), T.fold(F.col("quote")).alias("quote"))
 
 
 @query(f"SELECT doc_id, item_id FROM ({PAIRS})")
