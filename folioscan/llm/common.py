@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import ClassVar
@@ -18,6 +19,14 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 #: Rows of a table that may be broadcast; larger ones are joined by shuffling.
 BROADCAST_ROWS = 200_000
+#: Bytes of their values, with 8 for a number and 16 for an element of an array.
+BROADCAST_BYTES = 16 << 20
+#: The same for a side whose broadcast spares the shuffle of all texts or lines of the corpus.
+SPARING = {"limit": 2_000_000, "limit_bytes": 32 << 20}
+#: Whether the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths of written tables.
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -47,23 +56,42 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df once to the shared folder and return a scan of it.
 
     Cuts the lineage: what reads the result survives the loss of executors
-    without computing df again. The files go when the driver's Python ends.
+    without computing df again, so the shuffle files behind it go as soon as
+    it is written. Its own files go by discard(), or when the driver's Python ends.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/folioscan-{uuid.uuid4().hex}-{label}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise returned; nothing may read them any more."""
+    for df in tables:
+        path = _written.pop(df, None)
+        if path:
+            _delete(df.sparkSession, path)
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `limit` rows, counted first; df itself beyond."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it has at most `limit` rows of `limit_bytes` in all, measured first; df itself beyond."""
+    sizes = [F.octet_length(F.col(f"`{f.name}`")) if f.dataType.typeName() in ("string", "binary") else F.lit(16) * F.size(F.col(f"`{f.name}`")) if f.dataType.typeName() == "array" else F.lit(8) for f in df.schema.fields]
+    wide = sum((F.coalesce(x, F.lit(0)) for x in sizes), F.lit(0)).cast("long")
+    n, held = df.select(wide.alias("b")).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if n <= limit and held <= limit_bytes else df
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (as long) and the text, under fixed names; other columns can't clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
 def strings(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
@@ -79,7 +107,10 @@ def raw(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
 
 
 class Memo(dict):
-    """A dict that computes missing entries and forgets all of them when there are too many."""
+    """A dict that computes missing entries and forgets all of them when there are too many; long keys aren't kept."""
+
+    #: Length of a key up to which it is kept, so that a memo's bytes are bounded too.
+    LONGEST = 64
 
     #: All memos of this process.
     made: ClassVar[list[Memo]] = []
@@ -97,9 +128,11 @@ class Memo(dict):
                 memo.clear()
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        if len(key) <= self.LONGEST:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
         return value
 
 

@@ -18,7 +18,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscan.llm.common import small
+from folioscan.llm.common import SPARING, small
 
 #: Equivalent spellings, unified word by word.
 SPELLINGS = {
@@ -132,7 +132,7 @@ def licence_scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str
     """
     forms = known(docs.sparkSession, licences)
     longest = forms.agg(F.max("n")).first()[0] or 0
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("c"))
+    t = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), canonical_lines(F.col(f"`{text_col}`").cast("string")).alias("c"))
     lines = F.split("c", "\n")
 
     def unit(kind: str, at: Column, form: Column) -> Column:
@@ -147,4 +147,4 @@ def licence_scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str
     # unified spellings shorten a form by less than a fifth
     units = units.where((F.col("form") != "") & (F.length("form") <= longest * 1.25 + 16))
     digests = units.select("doc_id", "unit", "at", F.sha2(spelt(F.col("form")), 256).alias("digest"))
-    return digests.join(small(forms.select("digest", "licence")), "digest").select("doc_id", "unit", "at", "licence")
+    return digests.join(small(forms.select("digest", "licence"), **SPARING), "digest").select("doc_id", "unit", "at", "licence")

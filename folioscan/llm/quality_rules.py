@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscan.llm.common import hashed, materialise, raw, small, windows, word_hashes
+from folioscan.llm.common import SPARING, hashed, materialise, raw, small, windows, word_hashes
 
 #: Each rule with its cutoffs from strict to lenient.
 GRIDS = {
@@ -117,8 +117,8 @@ def certified(counts: np.ndarray, risk: float, level: float) -> int:
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, stratum_col: str | None) -> DataFrame:
-    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), stratum.alias("stratum"), F.col(text_col).cast("string").alias("text"))
+    stratum = F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) if stratum_col else F.lit("")
+    t = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), stratum.alias("stratum"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return t.mapInArrow(_measure, "doc_id long, stratum string, " + ", ".join(f"{x} long" for x in BASE) + ", bins array<int>")
 
 
@@ -130,7 +130,7 @@ def cutoffs(seen: DataFrame, labels: DataFrame, risk: float, level: float) -> Da
     one document count once, as the worst of them.
     """
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("quality")).where("quality = 1 AND doc_id IS NOT NULL").select("doc_id")
-    holdout = seen.where(~failed(F.col("n_words"), F.col("n_repeat_words"))).join(small(good), "doc_id", "left_semi")
+    holdout = seen.where(~failed(F.col("n_words"), F.col("n_repeat_words"))).join(small(good, **SPARING), "doc_id", "left_semi")
     counts = holdout.select("stratum", F.posexplode("bins").alias("rule", "bin")).groupBy("stratum", "rule", "bin").count()
     tests = max(1, counts.select("stratum").distinct().count()) * len(GRIDS)
     sizes = [len(g) for g in GRIDS.values()]
@@ -172,8 +172,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, risk: float = 0.05, level: flo
     seen = materialise(measured(docs, id_col, text_col, stratum_col), "quality")
     limits = materialise(cutoffs(seen, labels, risk, level), "cutoffs")
     names = docs.columns
-    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    flat = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), stratum.alias("stratum"), F.col(text_col).cast("string").alias("text"))
+    stratum = F.coalesce(F.col(f"`{stratum_col}`").cast("string"), F.lit("")) if stratum_col else F.lit("")
+    flat = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), stratum.alias("stratum"), F.col(f"`{text_col}`").cast("string").alias("text"))
     joined = flat.join(small(limits), "stratum", "left").select("row", "limits", "text")
     verdict = F.pandas_udf(_verdict, "boolean")
     return joined.where(verdict("text", "limits")).select("row.*")

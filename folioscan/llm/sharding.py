@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from folioscan.llm.common import materialise, prefix_bits, small
+from folioscan.llm.common import SPARING, discard, materialise, prefix_bits, small
 
 #: Hash bits that a directory may use.
 BITS = 60
@@ -61,7 +61,7 @@ def directory(sized: DataFrame, limit_bytes: int) -> DataFrame:
         open_ = large.where(F.col("depth") == end).select(F.col("prefix").alias("p"))
         if open_.isEmpty():
             break
-        rest = materialise(rest.withColumn("p", _prefix(F.col("bits"), F.lit(end))).join(small(open_), "p", "left_semi").drop("p"), "open")
+        rest = materialise(rest.withColumn("p", _prefix(F.col("bits"), F.lit(end))).join(small(open_, **SPARING), "p", "left_semi").drop("p"), "open")
         start = end
         stride = 8
     return materialise(found, "directory") if found is not None else spark.createDataFrame([], "depth int, prefix long, shard_bytes long")
@@ -78,17 +78,28 @@ def shards(docs: DataFrame, limit_bytes: int = 16 << 20, id_col: str = "doc_id",
     null text has 0 bytes; null ids hash as the empty string; an empty table
     gives an empty one.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
-    # the number of a row is drawn once, before it is written
-    rows = materialise(rows.withColumns({"bits": prefix_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "row": F.monotonically_increasing_id()}), "sizes")
+    placed = _placed(materialise(_numbered(docs, id_col, text_col), "sizes"), ["doc_id", "n_bytes", "depth"], limit_bytes)
+    return placed.select("doc_id", "n_bytes", "depth", "shard", "part")
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str, *kept: Column) -> DataFrame:
+    """doc_id, n_bytes, bits, row and kept of each row; the number is drawn once, so it must be written before it is used."""
+    key = F.col(f"`{id_col}`").cast("long")
+    n_bytes = F.coalesce(F.octet_length(F.col(f"`{text_col}`").cast("string")), F.lit(0)).cast("long")
+    return docs.select(key.alias("doc_id"), n_bytes.alias("n_bytes"), prefix_bits(F.coalesce(key.cast("string"), F.lit(""))).alias("bits"), F.monotonically_increasing_id().alias("row"), *kept)
+
+
+def _placed(rows: DataFrame, kept: list[str], limit_bytes: int) -> DataFrame:
+    """kept, shard and part of each of the numbered rows."""
     found = directory(rows.groupBy("bits").agg(F.sum("n_bytes").alias("n_bytes")), limit_bytes)
     depths = [r[0] for r in found.select("depth").distinct().collect()]
     # at most BITS + 1 depths; each row tries them by an equality join on (depth, prefix)
     tries = F.explode(F.array(*[F.struct(F.lit(d).cast("int").alias("depth"), _prefix(F.col("bits"), F.lit(d)).alias("prefix")) for d in sorted(depths)])) if depths else F.explode(F.array(F.struct(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"))))
-    placed = rows.select("doc_id", "n_bytes", "row", tries.alias("t")).select("doc_id", "n_bytes", "row", "t.depth", "t.prefix").join(small(found), ["depth", "prefix"])
+    own = [c for c in rows.columns if c != "bits"]
+    placed = rows.select(*own, tries.alias("t")).select(*own, "t.depth", "t.prefix").join(small(found, **SPARING), ["depth", "prefix"])
     # F.bin drops leading zeros
     shard = F.when(F.col("depth") == 0, "").otherwise(F.substring(F.lpad(F.bin("prefix"), BITS, "0"), BITS + 1 - F.col("depth"), F.col("depth")))
-    whole = placed.where(F.col("shard_bytes") <= limit_bytes).select("doc_id", "n_bytes", "depth", shard.alias("shard"), F.lit(0).cast("long").alias("part"))
+    whole = placed.where(F.col("shard_bytes") <= limit_bytes).select(*kept, shard.alias("shard"), F.lit(0).cast("long").alias("part"))
     # rows of one id: dealt by their numbers into about half a limit each, so that no task gets them all
     half = max(1, limit_bytes // 2)
     deals = F.greatest(F.ceil(F.col("shard_bytes") / half), F.lit(1)).cast("long")
@@ -97,12 +108,13 @@ def shards(docs: DataFrame, limit_bytes: int = 16 << 20, id_col: str = "doc_id",
     before = F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_bytes")
     # small rows that start in one half share a part, larger ones are parts of their own
     at = F.when(F.col("n_bytes") <= half, 2 * F.floor(before / half)).otherwise(2 * F.row_number().over(order) + 1)
-    over = single.withColumn("at", at).select("doc_id", "n_bytes", "depth", shard.alias("shard"), (F.col("deal") + F.col("deals") * F.col("at")).cast("long").alias("part"))
+    over = single.withColumn("at", at).select(*kept, shard.alias("shard"), (F.col("deal") + F.col("deals") * F.col("at")).cast("long").alias("part"))
     return whole.unionByName(over)
 
 
 def write_shards(docs: DataFrame, path: str, limit_bytes: int = 256 << 20, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write docs with their shard and part as partition folders; each is written by one task, in pieces it can hold."""
-    at = shards(docs, limit_bytes, id_col, text_col).select(F.col("doc_id").alias("_fs_id"), F.col("shard").alias("_fs_shard"), F.col("part").alias("_fs_part")).distinct()
-    joined = docs.join(at, F.col(id_col).cast("long").eqNullSafe(F.col("_fs_id"))).drop("_fs_id")
-    joined.repartition("_fs_shard", "_fs_part").write.partitionBy("_fs_shard", "_fs_part").parquet(path)
+    """Write docs, each row once, with shard and part as partition folders _fs_shard and _fs_part; each is one task's."""
+    rows = materialise(_numbered(docs, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all")), "rows")
+    at = _placed(rows, ["all"], limit_bytes).select("all.*", F.col("shard").alias("_fs_shard"), F.col("part").alias("_fs_part"))
+    at.repartition("_fs_shard", "_fs_part").write.partitionBy("_fs_shard", "_fs_part").parquet(path)
+    discard(rows)
