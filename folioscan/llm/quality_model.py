@@ -188,10 +188,12 @@ def classify(docs: DataFrame, sample: int = 10_000, threshold: float = 0.5, id_c
                 rows.append((vote, bins, index, n / max(len(words) // 2, 1)))
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["votes", "bins", "index", "share"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["key", "votes", "bins", "index", "share"])
 
-    picked = t.where(at < below).mapInArrow(gather, "votes string, bins array<int>, index array<int>, share array<float>")
-    rows = [(posterior[r[0]], np.array(r[1]), np.array(r[2], int), np.array(r[3])) for r in picked.limit(2 * sample).toLocalIterator()]
+    # one row for each hash, in the hashes' order: the fit doesn't depend on partitions, and repeats of a row count once
+    picked = t.where(at < below).withColumn("key", F.xxhash64("doc_id", "text")).dropDuplicates(["key"])
+    picked = picked.mapInArrow(gather, "key long, votes string, bins array<int>, index array<int>, share array<float>").orderBy("key").limit(2 * sample)
+    rows = [(posterior[r[1]], np.array(r[2]), np.array(r[3], int), np.array(r[4])) for r in picked.collect()]
     model = spark.sparkContext.broadcast((train(rows).astype(np.float32), posterior))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,8 @@
 """Secret scan: known forms first, then strings that a randomness battery tells from ordinary text.
 
-Long runs of key characters are candidates. For each, the smallest alphabet
+Long runs of key characters are candidates; one whose separators come every few
+characters, as in paths and slugs, is no single encoding and is judged by its
+parts. For each, the smallest alphabet
 that holds it is inferred, and three statistics are taken: chi-squared against
 a uniform alphabet, changes between character classes (a runs test), and the
 lag-one serial correlation of the alphabet's indices. Each gives a p-value
@@ -28,9 +30,13 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SEPARATORS = re.compile(r"[+/_=-]+")
+#: Characters from one separator to the next, on average, below which a run is several words.
+APART = 12
 KINDS = ("assign", "access", "hex", "random")
 
 LOWER, UPPER, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+WORDS = frozenset(LOWER)
 #: Alphabets from the smallest to the largest; the first that holds a string is inferred.
 ALPHABETS = (DIGIT, DIGIT + "abcdef", DIGIT + "ABCDEF", LOWER, UPPER, UPPER + "234567", DIGIT + LOWER, DIGIT + UPPER, LOWER + UPPER, LOWER + UPPER + DIGIT, LOWER + UPPER + DIGIT + "+/_=-")
 #: Shares of the letters a to z in ordinary English text, in per mille.
@@ -75,7 +81,8 @@ def battery(s: str) -> float:
     chi = float(((counts - n / k) ** 2).sum() * k / n)
     mean = (k - 1) + (n - 1) * max(k * two - 1, 0.15 * (k - 1) / 2)
     spread = math.sqrt(2 * (k - 1) + 4 * n * max(k * k * (three - two * two), 0.05 * k))
-    classes = np.array([0 if c in LOWER else 1 if c in UPPER else 2 if c in DIGIT else 3 for c in s])
+    # a capital that begins a word in lower case is of the word's class
+    classes = np.array([0 if c in LOWER or (c in UPPER and s[i + 1 : i + 2] in WORDS and (not i or s[i - 1] not in UPPER + DIGIT)) else 1 if c in UPPER else 2 if c in DIGIT else 3 for i, c in enumerate(s)])
     changes = int((classes[1:] != classes[:-1]).sum())
     expect, dev = (n - 1) * CHANGES, math.sqrt((n - 1) * CHANGES * (1 - CHANGES))
     centred = index - index.mean()
@@ -98,6 +105,31 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[re.Match]]:
     return sorted(spans), runs
 
 
+def _parts(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs that may be one encoding, and the long enough parts of the others."""
+    out = []
+    for a, b in spans:
+        marks = [m.span() for m in SEPARATORS.finditer(text, a, b) if a < m.start() and m.end() < b]
+        if b - a >= APART * (len(marks) + 1) + len(marks):
+            out.append((a, b))
+        else:
+            edges = [a, *(x for m in marks for x in m), b]
+            out += [(x, y) for x, y in zip(edges[::2], edges[1::2], strict=True) if y - x >= BANDS[0][0]]
+    return out
+
+
+def _clear(runs: list[re.Match], spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the runs that touch no span; both go by start, and runs don't overlap, so one walk does."""
+    out, at, reached = [], 0, 0
+    for m in runs:
+        while at < len(spans) and spans[at][0] < m.end():
+            reached = max(reached, spans[at][2])
+            at += 1
+        if reached <= m.start():
+            out.append((m.start(), m.end()))
+    return out
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
@@ -112,7 +144,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), strings(batch), strict=True):
             spans, runs = base_spans(text)
-            found = [(m.start(), m.end()) for m in runs if not any(a < m.end() and b > m.start() for a, _, b in spans)]
+            found = _parts(text, _clear(runs, spans))
             bands = [max(i for i, (least, _) in enumerate(BANDS) if b - a >= least) for a, b in found]
             bins = [max(-DEPTH, math.ceil(battery(text[a:b]) * STEPS)) for a, b in found]
             base = joined(spans)
