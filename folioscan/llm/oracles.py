@@ -18,6 +18,17 @@ WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(x=ASCII_LOWER)} AS w FROM docu
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM r WHERE r.a = d.doc_id) AS component_id FROM documents d LEFT JOIN n USING (doc_id)
 """
 
+LINK_COUNTS = f"""
+WITH w AS (SELECT doc_id, {WORDS.format(x=ASCII_LOWER)} AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM w WHERE len(w) > 0),
+ k AS (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS class, count(*) AS n FROM s GROUP BY 1),
+ r AS (SELECT class, min(doc_id) AS doc_id, min(n) AS n FROM k GROUP BY 1),
+ e AS (SELECT r.class, r.n, s.g FROM r JOIN s USING (doc_id)),
+ c AS (SELECT a.class AS a, b.class AS b, a.n AS m, b.n AS n, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.class <> b.class GROUP BY ALL),
+ l AS (SELECT a AS class, count(*) AS n_links FROM c WHERE 100 * k >= 75 * (m + n - k) GROUP BY 1)
+SELECT d.doc_id, coalesce(l.n_links, 0)::BIGINT AS n_links FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN l USING (class)
+"""
+
 
 def shards(limit: int) -> str:
     return f"""
@@ -52,7 +63,7 @@ SELECT doc_id, unit, "at", licence FROM (SELECT doc_id, unit, "at", {FORM.format
 """
 
 
-def quality(risk: float, level: float) -> str:
+def quality(risk: float, level: float, stratum: str = "coalesce(lang, '')") -> str:
     """The base counts, the holdout's counts, the binomial tails and the verdict."""
     scores = {
         "symbols_per_word": "n_symbols / greatest(n_words, 1)",
@@ -64,7 +75,7 @@ def quality(risk: float, level: float) -> str:
     rules = " UNION ALL ".join(f"SELECT doc_id, stratum, ok, {k} AS rule, {len(g)} AS size, len(list_filter([{', '.join(repr(float(x)) for x in g)}]::DOUBLE[], lambda y: y < x)) AS bin FROM (SELECT *, ({scores[name]})::DOUBLE AS x FROM b)" for k, (name, g) in enumerate(GRIDS.items()))
     p = risk / len(GRIDS)
     return f"""
-WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text, {WORDS.format(x="coalesce(text, '')")} AS w FROM documents),
+WITH w AS (SELECT doc_id, {stratum} AS stratum, coalesce(text, '') AS text, {WORDS.format(x="coalesce(text, '')")} AS w FROM documents),
  v AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM w WHERE len(w) > 8),
  m AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT doc_id, i FROM v QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), range(0, 8) t(j) GROUP BY 1),
  f AS (SELECT w.doc_id, stratum, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,

@@ -9,8 +9,8 @@ from folioscan.llm import oracles
 from folioscan.llm.decontam import overlaps
 from folioscan.llm.licences import licence_scan
 from folioscan.llm.line_dedup import line_dedup
-from folioscan.llm.ngram_join import ngram_join
-from folioscan.llm.packing import pack_documents
+from folioscan.llm.ngram_join import link_counts, ngram_join
+from folioscan.llm.packing import pack_conversations, pack_documents
 from folioscan.llm.quality_model import classify
 from folioscan.llm.quality_rules import quality_rules
 from folioscan.llm.secrets import secret_scan
@@ -63,9 +63,36 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_model, op2_ngram_join, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
+
+
+def link_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To how many other shingle sets each document's is linked."""
+    return link_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_links")
+
+
+def quality_one_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All languages as one stratum and a larger risk, so that a few hundred labels certify cutoffs."""
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.25, stratum_col=None)
+
+
+def shards_of_64k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit that even small tables exceed many times."""
+    return shards(table(spark, sf_dir, "documents"), 64 << 10)
+
+
+def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data: whole conversations under limits on tokens, segments and the assistant's tokens."""
+    return pack_conversations(table(spark, sf_dir, "conversations"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048, segments=16, loss_tokens=768)
+
+
+#: The operators with other parameters or outputs than the contracts fix.
+MORE = {f.__name__: f for f in (link_numbers, quality_one_stratum, shards_of_64k, packed_conversations)}
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": oracles.NGRAMS,
     "op3_quality_rules": oracles.quality(0.05, 0.05),
     "op5_sharding": oracles.shards(16 << 20),
     "op7_licences": oracles.LICENCES,
+    "link_numbers": oracles.LINK_COUNTS,
+    "quality_one_stratum": oracles.quality(0.25, 0.05, "''"),
+    "shards_of_64k": oracles.shards(64 << 10),
 }
