@@ -82,7 +82,7 @@ def shards_of_64k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instruction data: whole conversations under limits on tokens, segments and the assistant's tokens."""
-    return pack_conversations(table(spark, sf_dir, "conversations"), public_tokenizers.path("byte_bpe_50k.json"), tokens=2048, segments=16, loss_tokens=768)
+    return pack_conversations(table(spark, sf_dir, "conversations"), public_tokenizers.path("byte_bpe_50k.json"), tokens=4096, segments=5, loss_tokens=3200)
 
 
 #: The operators with other parameters or outputs than the contracts fix.
