@@ -90,3 +90,14 @@ WITH w AS (SELECT doc_id, {stratum} AS stratum, coalesce(text, '') AS text, {WOR
  bad AS (SELECT DISTINCT s.doc_id FROM s JOIN z USING (stratum, rule) WHERE s.bin > z.most)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, NOT ok AS base_failed, ok AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b
 """
+
+
+def url_rules(rules: dict[str, str]) -> str:
+    """Host and path by regular expressions, rules joined by suffix and prefix, the longest one first."""
+    rows = ", ".join(f"({_quoted(name)}, {_quoted(name.partition('/')[0])}, {_quoted('/' + name.partition('/')[2])}, {_quoted(verdict)})" for name, verdict in rules.items())
+    return f"""
+WITH r(rule, site, rest, verdict) AS (VALUES {rows}),
+ p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+ f AS (SELECT page_id, max_by(r.rule, (length(r.rule), length(site), r.rule)) AS rule, max_by(verdict, (length(r.rule), length(site), r.rule)) AS verdict FROM p JOIN r ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, rest) GROUP BY 1)
+SELECT page_id, host, path, rule, verdict FROM p LEFT JOIN f USING (page_id)
+"""

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscan.llm import oracles
+from folioscan.llm.alignment import alignment
 from folioscan.llm.decontam import overlaps
 from folioscan.llm.licences import licence_scan
 from folioscan.llm.line_dedup import line_dedup
@@ -16,6 +17,11 @@ from folioscan.llm.quality_rules import quality_rules
 from folioscan.llm.secrets import secret_scan
 from folioscan.llm.sharding import shards
 from folioscan.llm.token_counts import token_counts
+from folioscan.llm.urls import labels_table, url_filter, url_rules
+from folioscan.llm.whitening import whiten
+
+#: The rules of the URL filter by host and path.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +68,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_model, op2_ngram_join, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), URL_RULES, labels_table(spark))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_model, op2_ngram_join, op3_quality_rules, op4_line_dedup, op5_sharding, op6_packing, op7_licences, op8_secrets, op9_decontamination, op10_token_counts, op11_whitening, op12_url_filter, op13_alignment)
+}
 
 
 def link_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +106,13 @@ def packed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_conversations(table(spark, sf_dir, "conversations"), public_tokenizers.path("byte_bpe_50k.json"), tokens=4096, segments=5, loss_tokens=3200)
 
 
+def url_rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and the longest fitting rule of every page; the scorer's part of the filter left out."""
+    return url_rules(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 #: The operators with other parameters or outputs than the contracts fix.
-MORE = {f.__name__: f for f in (link_numbers, quality_one_stratum, shards_of_64k, packed_conversations)}
+MORE = {f.__name__: f for f in (link_numbers, quality_one_stratum, shards_of_64k, packed_conversations, url_rule_verdicts)}
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": oracles.NGRAMS,
     "op3_quality_rules": oracles.quality(0.05, 0.05),
@@ -95,4 +121,5 @@ ORACLE_SQL: dict[str, str] = {
     "link_numbers": oracles.LINK_COUNTS,
     "quality_one_stratum": oracles.quality(0.25, 0.05, "''"),
     "shards_of_64k": oracles.shards(64 << 10),
+    "url_rule_verdicts": oracles.url_rules(URL_RULES),
 }
