@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: A fence around JSON, and how a reply of claims begins.
 FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.IGNORECASE | re.DOTALL)
 OPENER = '{"claims"'
 

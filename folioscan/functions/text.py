@@ -184,18 +184,23 @@ def safe_id(name: Column) -> Column:
     return F.coalesce(name.rlike(r"\A[A-Za-z0-9][A-Za-z0-9_-]{0,127}\z"), F.lit(False))
 
 
+#: A verdict line, what separates its reason, and the wording that counts as a verdict without one.
+VERDICT_LINE, VERDICT_MARKS = r"(?im)^\s*VERDICT:\s*(PASS|FAIL)\b[ \t]*(.*)$", "-–—:"
+POSITIVE, NEGATIVE = ("verified sound", "verified clean"), r"\bfail(ed|ure)?\b|blocking defect|\bdefects?\b|not verified|unable to verify"
+
+
 def verdict(reply: Column) -> Column:
     """struct(verdict, detail) of a verifier's reply: its last verdict line, else an unambiguous statement.
 
     A FAIL without a reason is no verdict.
     """
     text = F.coalesce(reply, F.lit(""))
-    line = F.lit(r"(?im)^\s*VERDICT:\s*(PASS|FAIL)\b[ \t]*(.*)$")
+    line = F.lit(VERDICT_LINE)
     word = F.upper(F.element_at(F.regexp_extract_all(text, line, F.lit(1)), -1))
     rest = F.element_at(F.regexp_extract_all(text, line, F.lit(2)), -1)
-    detail = squeeze_ends(F.ltrim(squeeze_ends(rest), F.lit("-–—:")))
+    detail = squeeze_ends(F.ltrim(squeeze_ends(rest), F.lit(VERDICT_MARKS)))
     low = F.lower(text)
-    sound = (low.contains("verified sound") | low.contains("verified clean")) & ~low.rlike(r"\bfail(ed|ure)?\b|blocking defect|\bdefects?\b|not verified|unable to verify")
+    sound = (low.contains(POSITIVE[0]) | low.contains(POSITIVE[1])) & ~low.rlike(NEGATIVE)
     found = F.regexp_count(text, line) > 0
     none = F.lit(None).cast("string")
     name = F.when(found & (word == "FAIL") & (detail == ""), none).when(found, word).when(sound, "PASS").otherwise(none)

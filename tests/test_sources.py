@@ -68,6 +68,25 @@ def test_bad_books(change, error):
         epub.book_text(book(**change))
 
 
+def test_all_faults_of_an_archive():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("bomb", b"0" * 5_000_000)
+        with pytest.warns(UserWarning):
+            z.writestr("bomb", b"0" * 5_000_000)
+    with zipfile.ZipFile(io.BytesIO(out.getvalue())) as z:
+        assert epub.archive_faults(z) == [("compression ratio too high", "bomb")] * 2 + [("duplicate member", "bomb"), ("the mimetype must come first, stored", "")]
+
+
+@pytest.mark.parametrize(("href", "path"), [("a.png", "b/a.png"), ("./x/../a%20b.png#f", "b/a b.png"), ("../a", "a"), ("../../a", None), ("..", None), ("", None), ("/a", None), ("%2Fa", None), ("a?b", None), ("http://h/a", None), ("//h/a", None), ("a\\b", None), ("...", "b/...")])
+def test_members(href, path):
+    if path is None:
+        with pytest.raises(epub.Invalid):
+            epub.member("b/c.xhtml", href)
+    else:
+        assert epub.member("b/c.xhtml", href) == path
+
+
 def test_folder(spark, tmp_path):
     files = {"a.html": b"<p>x &amp;lt; y", "b.MD": b"l1\r\nl2", "c.txt": "é".encode(), "d.epub": book(), "e.md": b"\xff", "f.pdf": b"no", "A.md": b"twin", "g.epub": b"no zip"}
     for name, data in files.items():
