@@ -26,4 +26,4 @@ def query(sql: str | None = None):
     return add
 
 
-from folioscan.plans import corpus_queries, ledger_queries, fixture_queries, operator_queries  # noqa: E402, F401
+from folioscan.plans import corpus_queries, fixture_queries, ledger_queries, operator_queries, page_queries  # noqa: E402, F401
