@@ -1,7 +1,7 @@
 """Alignment of the tokens of two tokenizers, with how usual each link of two ids is in the corpus.
 
-Both vocabularies cut a text where a single space stands between two other
-characters, so units between such spaces are aligned once and kept in a
+Both vocabularies cut a text before a single space or line break between two
+other characters, so units that begin there are aligned once and kept in a
 bounded memo. Every task gathers documents into chunks of bounded size and
 writes their postings: for each A id, the linked B ids, and for each of those
 the documents with the number of links. The postings are shuffled by A id and
@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscan.llm.common import Memo, materialise, texts
-from folioscan.llm.packing import Encoder
+from folioscan.llm.packing import ODD, Encoder
 from folioscan.llm.token_counts import byte_symbols
 
-#: A space that both vocabularies' tokens can only begin with.
-BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Where both vocabularies' tokens always end: before a space or line break between two other characters.
+BEFORE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Links in a chunk of documents at most (but for a single longer document), and documents.
 CHUNK_LINKS, CHUNK_DOCS = 3_000_000, 1 << 16
+#: Characters of the texts whose unknown units are aligned together.
+TOGETHER = 1 << 19
 #: Postings of one A id that a task takes at most; ids with more are dealt over several.
 PIECE = 1 << 18
 #: Documents whose contributions a task holds before it emits them.
@@ -54,49 +56,114 @@ def piece_tokens(model) -> list[bytes]:
 
 
 class Aligner:
-    """Aligns the tokens of single texts, unit by unit."""
+    """Aligns the tokens of texts, unit by unit; a unit is a word after a space, or a line break and the word after it."""
 
-    def __init__(self, path_a: str, path_b: str, memo: int = 150_000):
+    def __init__(self, path_a: str, path_b: str, memo: int = 250_000):
         import sentencepiece
 
         self.encode_a = Encoder(path_a, 8).raw
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.encode_b = self.model.encode
         self.bytes_a, self.bytes_b = byte_tokens(path_a), piece_tokens(self.model)
-        if max(self.bytes_a) >= 1 << 16 or len(self.bytes_b) > 1 << 16:
+        most = max(self.bytes_a) + 1
+        if most > 1 << 16 or len(self.bytes_b) > 1 << 16:
             raise ValueError("ids must fit into 16 bits")
         if any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b))):
             raise ValueError("a piece may begin with spaces and hold none elsewhere")
-        self.units = Memo(self._unit, memo)
-
-    def _unit(self, unit: str) -> tuple[int, int, int, bytes, str] | None:
-        """n_a, n_b, n_groups, the links as 32-bit codes and the groups' text of a space and `unit`; None if bytes differ."""
-        a, b = self.encode_a(" " + unit), self.encode_b(unit)
-        data = (" " + unit).encode()
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != data or b"".join(parts_b) != data:
+        if len(self.encode_b("\n")) != 2 or any(len(x) > 1 and b"\n" in x for x in self.bytes_b):
+            raise ValueError("a line break must be a token of its own")
+        self.width_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(most)])
+        self.width_b = np.array([len(x) for x in self.bytes_b])
+        # how an id is written where its group goes on, and where its side of the group ends
+        self.written = [f"{i}{mark}" for n, end in ((most, "|"), (len(self.bytes_b), ";")) for i in range(n) for mark in (",", end)]
+        self.written_width, self.at_b = np.array([len(x) for x in self.written]), 2 * most
+        self.memo, self.units = memo, Memo(self._unit, memo)
+
+    def _unit(self, unit: str | tuple[str]) -> tuple[int, int, int, bytes, str] | None:
+        """A single unit: n_a, n_b, n_groups, the links as 32-bit codes and the groups' text; None if bytes differ.
+
+        A tuple holds the first unit of a text that begins with a line break.
+        """
+        breaks = unit[0:1] == "\n"
+        unit = unit if isinstance(unit, str) else unit[0]
+        data = unit if breaks else " " + unit
+        a, b = self.encode_a(data), self.encode_b(unit)[breaks:]
+        if b"".join(self.bytes_b[i] for i in b) != data.encode():
+            return None
+        return self._aligned(np.array(a), np.array(b), np.array([len(data.encode())]))[0]
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, units: np.ndarray) -> list[tuple[int, int, int, bytes, str]] | None:
+        """The units' results from the ids of all of them in a row and the places where they end; None if tokens cross these."""
+        ends_a, ends_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last = np.searchsorted(common, units)
+        if ends_a[-1] != units[-1] or ends_b[-1] != units[-1] or (common[np.minimum(last, len(common) - 1)] != units).any():
             return None
-        ends_a, ends_b = np.cumsum(list(map(len, parts_a))), np.cumsum(list(map(len, parts_b)))
         # each stretch between two neighbouring ends, of whichever side, is the overlap of just one pair of tokens
         ends = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        codes = np.array(a, np.uint32)[at_a] << np.uint32(16) | np.array(b, np.uint32)[at_b]
-        groups, i, j = [], 0, 0
-        for end in np.intersect1d(ends_a, ends_b):
-            k, m = int(np.searchsorted(ends_a, end)) + 1, int(np.searchsorted(ends_b, end)) + 1
-            groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            i, j = k, m
-        return len(a), len(b), len(groups), codes.astype("<u4").tobytes(), ";".join(groups)
-
-    def align(self, text: str | None) -> tuple[int, int, int, bytes, str] | None:
-        """The same of a whole text; None for no tokens (null or empty text, bytes that differ)."""
-        if not text:
-            return None
-        units = [self.units[x] for x in BETWEEN.split(text)]
-        if None in units:  # a unit's bytes differ, so the whole text's do
-            return None
-        n_a, n_b, n_groups, codes, groups = zip(*units, strict=True)
-        return sum(n_a), sum(n_b), sum(n_groups), b"".join(codes), ";".join(groups)
+        codes = (a[np.searchsorted(ends_a, ends)] << 16 | b[np.searchsorted(ends_b, ends)]).astype("<u4").tobytes()
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        signs = np.concatenate([2 * a + (common[group_a] == ends_a), self.at_b + 2 * b + (common[group_b] == ends_b)])[order]
+        text = "".join(map(self.written.__getitem__, signs.tolist()))
+        upto = np.cumsum(self.written_width[signs])
+        n_a, n_b, n_links, n_groups = (np.concatenate([[0], np.searchsorted(x, units) + 1]) for x in (ends_a, ends_b, ends, common))
+        place = np.concatenate([[0], upto[n_a[1:] + n_b[1:] - 1]]).tolist()
+        link = (4 * n_links).tolist()
+        sizes = zip(np.diff(n_a).tolist(), np.diff(n_b).tolist(), np.diff(n_groups).tolist(), strict=True)
+        return [(*size, codes[link[k] : link[k + 1]], text[place[k] : place[k + 1] - 1]) for k, size in enumerate(sizes)]
+
+    def learn(self, units: list[str]) -> None:
+        """Align units that aren't known yet, all in a row where that gives each the same as by itself."""
+        plain = [u for u in units if isinstance(u, str) and u.strip("\n") and not u[u[0] == "\n"].isspace() and not u[-1].isspace()]
+        plain.sort(key=lambda u: u[0] == "\n")
+        data = "".join(u if u[0] == "\n" else " " + u for u in plain)
+        found = None
+        if data:
+            breaks = data[0] == "\n"
+            a, b = self.encode_a(data), self.encode_b(data if breaks else data[1:])[breaks:]
+            if b"".join(map(self.bytes_b.__getitem__, b)) == data.encode():
+                widths = [len(u.encode()) + (u[0] != "\n") for u in plain]
+                found = self._aligned(np.array(a), np.array(b), np.cumsum(widths))
+        if found:
+            self.units.update(zip(plain, found, strict=True))
+            known = set(plain)
+            units = [u for u in units if u not in known]
+        for u in units:
+            self.units[u] = self._unit(u)
+
+    @staticmethod
+    def split(text: str) -> list[str | tuple[str]]:
+        """The units of a text that isn't empty; those after a line break begin with it."""
+        if ODD.search(text):
+            first, *rest = BEFORE.split(text)
+            return [(first,) if first[0] == "\n" else first, *(x[1:] if x[0] == " " else x for x in rest)]
+        first, *rest = text.split("\n")
+        units = first.split(" ")
+        for line in rest:
+            word, *words = line.split(" ")
+            units.append("\n" + word)
+            units += words
+        return units
+
+    def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, bytes, str] | None]:
+        """The same of whole texts; None for no tokens (null or empty text, bytes that differ)."""
+        if len(self.units) > self.memo:
+            self.units.clear()
+        split = [self.split(t) if t else [] for t in texts]
+        known = self.units
+        missing = {u for own in split for u in own if u not in known}
+        self.learn(list(missing))
+        for own in split:
+            parts = [known[u] for u in own]
+            if not parts or None in parts:  # where a unit's bytes differ the whole text's do
+                yield None
+            else:
+                n_a, n_b, n_groups, codes, groups = zip(*parts, strict=True)
+                yield sum(n_a), sum(n_b), sum(n_groups), b"".join(codes), ";".join(groups)
+        for u in missing:  # long units aren't kept
+            if isinstance(u, tuple) or len(u) > Memo.LONGEST:
+                del known[u]
 
 
 @lru_cache(maxsize=1)
@@ -181,6 +248,20 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (x.split(" ") for x in ddl.split(", "))])
 
 
+def together(batches: Iterator[pa.RecordBatch], of: Aligner) -> Iterator[tuple]:
+    """Ids and results of the rows of batches; texts are aligned together up to TOGETHER characters, or alone."""
+    ids, held, size = [], [], 0
+    for batch in batches:
+        for i, t in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            ids.append(i.as_py())
+            held.append(t.as_py())
+            size += len(held[-1] or "")
+            if size >= TOGETHER or len(held) >= 4096:
+                yield from zip(ids, of.align(held), strict=True)
+                ids, held, size = [], [], 0
+    yield from zip(ids, of.align(held), strict=True)
+
+
 def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_links: int = CHUNK_LINKS) -> DataFrame:
     """Rows of SCHEMA: every document's own numbers, and the postings of its chunk."""
     kind, names = _arrow(SCHEMA), [x.split(" ")[0] for x in DOCS.split(", ")]
@@ -202,16 +283,14 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, chunk_links: int = CHUNK_
                 for start in range(0, k, 4096):  # one row may hold many postings
                     yield _emit(kind, min(4096, k - start), {c: v.slice(start, 4096) for c, v in made.items()})
 
-        for batch in batches:
-            for i, t in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                got = of.align(t.as_py())
-                n_a, n_b, n_groups, own, groups = got or (0, 0, 0, b"", "")
-                rows.append((i.as_py(), len(rows), n_a, n_b, n_groups, len(own) // 4, hashlib.sha256(groups.encode()).hexdigest() if got else ""))
-                codes.append(own)
-                held += len(own) // 4
-                if held >= chunk_links or len(rows) >= CHUNK_DOCS:
-                    yield from flush()
-                    chunk, rows, codes, held = chunk + 1, [], [], 0
+        for i, got in together(batches, of):
+            n_a, n_b, n_groups, own, groups = got or (0, 0, 0, b"", "")
+            rows.append((i, len(rows), n_a, n_b, n_groups, len(own) // 4, hashlib.sha256(groups.encode()).hexdigest() if got else ""))
+            codes.append(own)
+            held += len(own) // 4
+            if held >= chunk_links or len(rows) >= CHUNK_DOCS:
+                yield from flush()
+                chunk, rows, codes, held = chunk + 1, [], [], 0
         if rows:
             yield from flush()
 
