@@ -4,10 +4,10 @@ Both vocabularies cut a text before a single space or line break between two
 other characters, so units that begin there are aligned once and kept in a
 bounded memo. Every task gathers documents into chunks of bounded size and
 writes their postings: for each A id, the linked B ids, and for each of those
-the documents with the number of links. The postings are shuffled by A id and
-sorted there behind the id's counts, which say in how many documents each pair
-occurs; one pass over that stream finds what each document gets from each id.
-These contributions are summed by document.
+the documents with the number of links. The postings are shuffled by buckets of A
+ids and sorted there behind each id's counts, which say in how many documents
+each pair occurs; one pass over that stream finds what the documents get from
+the bucket. These contributions, packed by chunk, are summed by document.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ BEFORE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 CHUNK_LINKS, CHUNK_DOCS = 3_000_000, 1 << 16
 #: Characters of the texts whose unknown units are aligned together.
 TOGETHER = 1 << 19
-#: Postings of one A id that a task takes at most; ids with more are dealt over several.
-PIECE = 1 << 18
+#: Buckets of A ids: of so many tasks, and not more, a document gets contributions, but for ids that fill more than a bucket. Postings that a part of a bucket has on average at most.
+BUCKETS, PIECE = 64, 1 << 20
 #: Documents whose contributions a task holds before it emits them.
 HELD = 1 << 20
 
@@ -325,16 +325,18 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contributions(held_docs: int = HELD):
-    """A function of sorted batches that gives what each document gets from a task's A ids: chunk, doc, count_sum, n_best.
+    """A function of sorted batches that gives what the documents get from a task's A ids: chunk, docs, sums, best.
 
-    The rows are sorted by A id and piece, the counts first. Sums are emitted
-    once they are held for more than held_docs documents.
+    The rows are sorted by bucket, part and A id, an id's counts first. A row
+    holds a chunk's documents (16 bits), their count_sum (64 bits) and n_best
+    (32 bits); it is emitted at the end, or once sums are held for more than
+    held_docs documents.
     """
 
     def emitted(held):
         for chunk, of in held.items():
             at = np.flatnonzero(of[0])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(at, pa.int32()), pa.array(of[0][at]), pa.array(of[1][at])], ["chunk", "doc", "count_sum", "n_best"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<u2"), of[0][at].astype("<i8"), of[1][at].astype("<u4")))], ["chunk", "docs", "sums", "best"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -364,6 +366,27 @@ def contributions(held_docs: int = HELD):
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """chunk, doc, count_sum, n_best: the contributions of rows that are sorted by chunk, added up by document."""
+    chunk = total = None
+
+    def emit():
+        at = np.flatnonzero(total[0])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(at, pa.int32()), pa.array(total[0][at]), pa.array(total[1][at])], ["chunk", "doc", "count_sum", "n_best"])
+
+    for batch in batches:
+        for number, docs, sums, best in zip(*(batch.column(c).to_pylist() for c in ("chunk", "docs", "sums", "best")), strict=True):
+            if number != chunk:
+                if total is not None:
+                    yield emit()
+                chunk, total = number, np.zeros((2, CHUNK_DOCS), np.int64)
+            at = np.frombuffer(docs, "<u2")
+            total[0][at] += np.frombuffer(sums, "<i8")
+            total[1][at] += np.frombuffer(best, "<u4")
+    if total is not None:
+        yield emit()
+
+
 def alignment(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE, chunk_links: int = CHUNK_LINKS, held_docs: int = HELD) -> DataFrame:
     """One row for each row of docs: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
@@ -377,23 +400,29 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
     byte (such as texts with U+2581), have no tokens: zeros and ''. Null ids
     stay null; repeated rows give repeated rows and count as documents of their
     own; an empty table gives an empty one. Texts of any length are aligned
-    whole. An A id with over `piece` postings is dealt over several tasks; what
-    is broadcast has a row for each such A id, so it is bounded by the vocabulary.
+    whole. The postings of a bucket of A ids are dealt by chunk over parts of some
+    `piece`; what is broadcast has a row for each A id, so it is bounded by the
+    vocabulary (a megabyte).
     """
     table = materialise(aligned(texts(docs, id_col, text_col), path_a, path_b, chunk_links), "aligned")
     mine = table.where("a IS NOT NULL")
     pairs = mine.select("a", "b", "n").mapInArrow(_pair_counts, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     # at most as many entries in a list as B has ids
-    lists = pairs.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("b", "n"))).alias("of"), F.ceil(F.sum("n") / piece).cast("int").alias("pieces"))
-    counts = materialise(lists.select("a", "pieces", F.col("of.b").alias("ids"), F.col("of.n").alias("totals")), "pair-counts")
-    dealt = counts.where("pieces > 1").select("a", "pieces")
+    lists = pairs.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("b", "n"))).alias("of"), F.sum("n").alias("total"))
+    lists = materialise(lists.select("a", "total", F.col("of.b").alias("ids"), F.col("of.n").alias("totals")), "pair-counts")
+    every = lists.agg(F.sum("total").alias("n")).first()["n"] or 0
+    # a bucket's postings are dealt over as many parts as pieces of them need, those of an id that fills more than a bucket over more
+    parts = max(1, -(-every // (BUCKETS * piece)))
+    counts = lists.withColumn("parts", (F.lit(parts) * F.ceil(F.col("total") * BUCKETS / max(every, 1))).cast("int"))
+    dealt = counts.select("a", "parts")
+    bucket = F.pmod(F.xxhash64("a"), F.lit(BUCKETS)).cast("int").alias("bucket")
     empty = [F.lit(None).cast("binary").alias(c) for c in ("b", "n", "low", "high", "links", "more")]
-    heads = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("part"), F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("int").alias("size"), *empty, "ids", "totals")
-    part = F.coalesce(F.pmod(F.xxhash64("chunk"), F.col("pieces")), F.lit(0)).cast("int")
-    rest = mine.join(F.broadcast(dealt), "a", "left").select("a", part.alias("part"), "chunk", "size", "b", "n", "low", "high", "links", "more", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("array<long>").alias("totals"))
-    stream = heads.unionByName(rest).repartition("a", "part").sortWithinPartitions("a", "part", F.col("chunk").asc_nulls_first())
-    each = stream.mapInArrow(contributions(held_docs), "chunk long, doc int, count_sum long, n_best long")
-    summed = each.groupBy("chunk", "doc").agg(F.sum("count_sum").alias("count_sum"), F.sum("n_best").alias("n_best"))
+    heads = counts.select(bucket, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "a", F.lit(None).cast("long").alias("chunk"), F.lit(None).cast("int").alias("size"), *empty, "ids", "totals")
+    part = F.pmod(F.xxhash64("chunk"), F.col("parts")).cast("int")
+    rest = mine.join(F.broadcast(dealt), "a").select(bucket, part.alias("part"), "a", "chunk", "size", "b", "n", "low", "high", "links", "more", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("array<long>").alias("totals"))
+    stream = heads.unionByName(rest).repartition("bucket", "part").sortWithinPartitions("bucket", "part", "a", F.col("chunk").asc_nulls_first())
+    each = stream.mapInArrow(contributions(held_docs), "chunk long, docs binary, sums binary, best binary")
+    summed = each.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_summed, "chunk long, doc int, count_sum long, n_best long")
     own = table.where("a IS NULL").select("chunk", *[x.split(" ")[0] for x in DOCS.split(", ")])
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return own.join(summed, ["chunk", "doc"], "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", zero("n_best"), zero("count_sum"), "groups_sha256")
