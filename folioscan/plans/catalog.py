@@ -26,4 +26,4 @@ def query(sql: str | None = None):
     return add
 
 
-from folioscan.plans import corpus_queries, fixture_queries, gate_queries, ledger_queries, operator_queries, page_queries, tree_queries  # noqa: E402, F401
+from folioscan.plans import corpus_queries, fixture_queries, gate_queries, ledger_queries, operator_queries, page_queries, report_queries, tree_queries  # noqa: E402, F401
