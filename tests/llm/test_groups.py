@@ -218,3 +218,19 @@ def test_registry():
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES)
     assert numbers == list(range(1, 11))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+
+
+@pytest.mark.parametrize("others", [33, 60, 1000])
+@pytest.mark.parametrize("blocks", [None, 12])
+def test_common_runs_lose_no_pair(spark, others, blocks):
+    """Lines of twelve words, three of them substituted, whose one common run stands in many other lines too."""
+    rows = []
+    for k in range(5):
+        w = [f"{k}word{chr(97 + i)}x" for i in range(12)]
+        far = [x if i in (0, 1, 3, 4, 5, 7, 8, 10, 11) else f"{k}other{i}y" for i, x in enumerate(w)]
+        rows += [(" ".join(w),), (" ".join(far),)]
+        # runs of three that both have: words 3 to 5 alone
+        rows += [(" ".join([f"{k}z{j}a{i}" for i in range(4)] + w[3:6] + [f"{k}z{j}b{i}" for i in range(5)]),) for j in range(others)]
+    docs = spark.createDataFrame([(i, t) for i, (t,) in enumerate(rows)], "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.line_dedup(docs, radius=None, blocks=blocks).where("n_removed > 0").collect()}
+    assert gone == {k * (others + 2) + 1 for k in range(5)}
