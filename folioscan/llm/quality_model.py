@@ -158,8 +158,9 @@ def classify(docs: DataFrame, sample: int = 10_000, threshold: float = 0.5, id_c
 
     posterior: P(good) by the label model; score: P(good) by the scorer; kept:
     score >= threshold. The label model counts the votes of all documents; the
-    scorer is fitted on about `sample` documents, those with the smallest
-    hashes of id and text, whatever the input's size. A null text counts as
+    scorer is fitted on about `sample` different rows, those with the smallest
+    hashes of id and text, whatever the input's size and however often a row
+    is repeated; all of them if there are fewer. A null text counts as
     empty (few words, so most labellers abstain or vote bad); a null id stays
     null; repeated rows give repeated rows; an empty table gives an empty one.
     """
@@ -175,8 +176,9 @@ def classify(docs: DataFrame, sample: int = 10_000, threshold: float = 0.5, id_c
     seen = materialise(t.withColumn("at", at).select("text", "at").mapInArrow(look, "votes string, at long"), "votes")
     patterns = {r[0]: r[1] for r in seen.groupBy("votes").count().collect()}
     posterior, _, _ = fit_labellers(patterns)
-    total = sum(patterns.values())
-    below = int(2**31 * min(1.0, sample / max(total, 1)))
+    # the hashes of different rows lie evenly below 2**31, repeats add none
+    different = seen.agg(F.approx_count_distinct("at", 0.02)).first()[0]
+    below = int(2**31 * min(1.0, sample / max(different, 1)))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = features()
