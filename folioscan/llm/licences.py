@@ -1,16 +1,21 @@
 """Licence scan by canonical digests.
 
 A text, and each of its paragraphs and lines, is brought to a canonical form:
-lower case, no copyright lines, no punctuation, equivalent spellings unified,
+lower case, no copyright notices, no punctuation, equivalent spellings unified,
 single spaces. The digest of the form is joined to the digests of the known
 licences' forms, so only whole texts match, never parts of a sentence. Native
 plans only.
+
+There are two forms. One leaves out short paragraphs that begin with a
+copyright mark and keeps all other words, so it doesn't depend on where lines
+are wrapped. The other leaves out lines that begin with one, for notices that
+stand directly above other text. A unit that has either form of a known text
+is that licence.
 """
 
 from __future__ import annotations
 
 import re
-import textwrap
 from functools import lru_cache, reduce
 from itertools import product
 from pathlib import Path
@@ -60,8 +65,10 @@ TITLES = {
     "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"), "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"), "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
     "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD License"), "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD License"), "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"), "Unlicense": ("The Unlicense", "Unlicense"),
 }
-#: Widths at which short licences are wrapped; a line that happens to begin with "copyright" is left out of a form.
-WIDTHS = (*range(50, 101), 10**6)
+#: Words of a paragraph up to which it is a copyright notice if it begins with a mark of one.
+NOTICE = 25
+#: What stands between paragraphs of canonical lines.
+GAP = r"\n ?\n[ \n]*"
 #: Marks of a copyright line that are not words.
 HOLDER = ("©", "(c)")
 
@@ -72,25 +79,32 @@ def canonical_lines(text: Column) -> Column:
 
 
 def joined(lines: Column) -> Column:
-    """Canonical lines as one form, without copyright lines."""
+    """Canonical lines as one form, without those that begin with a copyright mark."""
     return F.array_join(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: (x != "") & ~x.startswith("copyright ") & (x != "copyright")), " ")
 
 
-def spelt(form: Column) -> Column:
-    """A form with unified spellings; the replacements run only where one of them may apply."""
-    marks = reduce(lambda a, b: a | b, (form.contains(k) for k in SPELLINGS))
-    padded = reduce(lambda c, kv: F.replace(c, F.lit(f" {kv[0]} "), F.lit(f" {kv[1]} ")), SPELLINGS.items(), F.concat(F.lit(" "), form, F.lit(" ")))
-    return F.when(marks, F.trim(padded)).otherwise(form)
+def unwrapped(text: Column) -> Column:
+    """Canonical lines as one form that doesn't depend on their ends, without paragraphs that are copyright notices."""
+    parts = F.transform(F.split(text, GAP), lambda p: F.trim(F.regexp_replace(p, "[ \n]+", " ")))
+    notice = lambda p: (p.startswith("copyright ") | (p == "copyright")) & (F.size(F.split(p, " ")) <= NOTICE)
+    return F.array_join(F.filter(parts, lambda p: (p != "") & ~notice(p)), " ")
+
 
+def forms_of(text: Column) -> Column:
+    """Both forms of canonical lines, one if they are equal."""
+    return F.when(text.contains("copyright"), F.array_distinct(F.array(joined(F.split(text, "\n")), unwrapped(text)))).otherwise(F.array(joined(F.split(text, "\n"))))
 
-def _own_lines(text: str) -> list[str]:
-    """The lines that aren't left out as copyright lines."""
-    return [x for x in text.split("\n") if not re.match(r"[^a-z0-9]*(copyright\b|\(c\)|©)", x.lower())]
+
+def spelt(form: Column) -> Column:
+    """A form with unified spellings, word by word; only where one of them may apply."""
+    marks = reduce(lambda a, b: a | b, (form.contains(k) for k in SPELLINGS))
+    unified = F.create_map(*[F.lit(x) for kv in SPELLINGS.items() for x in kv])
+    return F.when(marks, F.array_join(F.transform(F.split(form, " "), lambda w: F.coalesce(unified[w], w)), " ")).otherwise(form)
 
 
 @lru_cache(maxsize=1)
 def whole_texts() -> tuple[tuple[str, str], ...]:
-    """(licence, text) of whole licences: as shipped, and the short ones with and without title, numbers and reservation, wrapped at many widths; Apache-2.0 without its appendix too."""
+    """(licence, text) of whole licences: as shipped, and the short ones with and without title, numbers and reservation; Apache-2.0 without its appendix too."""
     out = set()
     for path in sorted(TEXTS.glob("*.txt")):
         name, text = path.stem.split("~")[0], path.read_text(encoding="utf-8")
@@ -99,22 +113,18 @@ def whole_texts() -> tuple[tuple[str, str], ...]:
             out.add((name, text.split("APPENDIX: How to apply")[0]))
         if name not in TITLES:
             continue
-        body = "\n".join(_own_lines(text)).strip()
-        if body.split("\n")[0].strip().lower() in {t.lower() for t in TITLES[name]}:
-            body = body.split("\n", 1)[1].strip()
+        titles = {t.lower() for t in TITLES[name]}
+        # paragraphs of a notice or a title alone are put together anew
+        body = "\n\n".join(p for p in re.split(r"\n\s*\n", text.strip()) if p.strip().lower() not in titles and not (re.match(r"\W*(copyright\b|\(c\)|©)", p.lower()) and len(p.split()) <= NOTICE))
         plain = re.sub(r"(?m)^\s*\(?[0-9]\W\s*", "", body)
-        wraps = set()
-        for x, width in product((body, plain), WIDTHS):
-            parts = [" ".join(p.split()) for p in re.split(r"\n\s*\n|\n(?=\s*[0-9]\. )", x)]
-            wraps.add(" ".join(_own_lines("\n".join(textwrap.fill(p, width, break_long_words=False) for p in parts))))
-        out |= {(name, "\n".join(filter(None, head)) + "\n" + w) for w in wraps for head in product(("", *TITLES[name]), ("", "All rights reserved."))}
+        out |= {(name, "\n\n".join(filter(None, (*head, x)))) for x in (body, plain) for head in product(("", *TITLES[name]), ("", "All rights reserved."))}
     return tuple(sorted(out))
 
 
 def known(spark: SparkSession, licences: DataFrame | None = None) -> DataFrame:
     """digest, licence and length of the known texts' forms; licences: rows of (licence, text) to use in place of KNOWN and whole_texts()."""
     rows = spark.createDataFrame([*KNOWN, *whole_texts()], "licence string, text string") if licences is None else licences.select("licence", "text")
-    forms = rows.where("text IS NOT NULL").select("licence", canonical_lines(F.col("text")).alias("c")).select("licence", joined(F.split("c", "\n")).alias("form"))
+    forms = rows.where("text IS NOT NULL").select("licence", F.explode(forms_of(canonical_lines(F.col("text")))).alias("form"))
     forms = forms.select("licence", spelt(F.col("form")).alias("form")).where("form <> ''")
     # one licence for each form, the first by name
     return forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("licence").alias("licence"), F.max(F.length("form")).alias("n"))
@@ -132,7 +142,7 @@ def licence_scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str
     """
     forms = known(docs.sparkSession, licences)
     longest = forms.agg(F.max("n")).first()[0] or 0
-    t = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), canonical_lines(F.col(f"`{text_col}`").cast("string")).alias("c"))
+    t = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), canonical_lines(F.col(f"`{text_col}`").cast("string")).alias("c"))
     lines = F.split("c", "\n")
 
     def unit(kind: str, at: Column, form: Column) -> Column:
@@ -141,10 +151,12 @@ def licence_scan(docs: DataFrame, licences: DataFrame | None = None, id_col: str
     none = F.array().cast("array<struct<unit:string,at:bigint,form:string>>")
     each = F.when(F.col("c").contains("\n"), F.transform(lines, lambda x, i: unit("line", i, joined(F.array(x))))).otherwise(none)
     gap = F.col("c").contains("\n\n") | F.col("c").contains("\n \n")
-    blocks = F.when(gap, F.transform(F.split("c", r"\n ?\n[ \n]*"), lambda x, i: unit("paragraph", i, joined(F.split(x, "\n"))))).otherwise(none)
-    whole = F.array(unit("text", F.lit(0), joined(lines)))
-    units = t.select("doc_id", F.explode(F.concat(whole, blocks, each)).alias("u")).select("doc_id", "u.unit", "u.at", "u.form")
+    blocks = F.when(gap, F.flatten(F.transform(F.split("c", GAP), lambda x, i: F.transform(forms_of(x), lambda form: unit("paragraph", i, form))))).otherwise(none)
+    whole = F.transform(forms_of(F.col("c")), lambda form: unit("text", F.lit(0), form))
+    units = t.select("row", "doc_id", F.explode(F.concat(whole, blocks, each)).alias("u")).select("row", "doc_id", "u.unit", "u.at", "u.form")
     # unified spellings shorten a form by less than a fifth
     units = units.where((F.col("form") != "") & (F.length("form") <= longest * 1.25 + 16))
-    digests = units.select("doc_id", "unit", "at", F.sha2(spelt(F.col("form")), 256).alias("digest"))
-    return digests.join(small(forms.select("digest", "licence"), **SPARING), "digest").select("doc_id", "unit", "at", "licence")
+    digests = units.select("row", "doc_id", "unit", "at", F.sha2(spelt(F.col("form")), 256).alias("digest"))
+    found = digests.join(small(forms.select("digest", "licence"), **SPARING), "digest")
+    # a unit may match in both forms
+    return found.groupBy("row", "doc_id", "unit", "at").agg(F.min("licence").alias("licence")).select("doc_id", "unit", "at", "licence")

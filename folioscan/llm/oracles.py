@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioscan.llm.licences import KNOWN, SPELLINGS
+from folioscan.llm.licences import KNOWN, NOTICE, SPELLINGS, whole_texts
 from folioscan.llm.quality_rules import GRIDS
 
 WORDS = r"list_filter(regexp_split_to_array({x}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -44,22 +44,25 @@ def _quoted(x: str) -> str:
 
 
 def _spelt(form: str) -> str:
-    out = f"(' ' || {form} || ' ')"
-    for old, new in SPELLINGS.items():
-        out = f"replace({out}, ' {old} ', ' {new} ')"
-    return f"trim({out})"
+    unified = ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in SPELLINGS.items())
+    return f"array_to_string(list_transform(string_split({form}, ' '), lambda w: coalesce(MAP {{{unified}}}[w], w)), ' ')"
 
 
 CANON = r"regexp_replace(replace(replace(lower(coalesce(text, '')), '©', ' copyright '), '(c)', ' copyright '), '[^\p{L}\p{N}\n]+', ' ', 'g')"
 FORM = "array_to_string(list_filter(list_transform(string_split({x}, chr(10)), lambda y: trim(y)), lambda y: y <> '' AND NOT starts_with(y, 'copyright ') AND y <> 'copyright'), ' ')"
+GAP = r"regexp_split_to_array({x}, '\n ?\n[ \n]*')"
+UNWRAPPED = f"array_to_string(list_filter(list_transform({GAP}, lambda y: trim(regexp_replace(y, '[ \\n]+', ' ', 'g'))), lambda y: y <> '' AND NOT ((starts_with(y, 'copyright ') OR y = 'copyright') AND len(string_split(y, ' ')) <= {NOTICE})), ' ')"
+BOTH = f"list_distinct([{FORM}, {UNWRAPPED}])"
 LICENCES = f"""
-WITH k AS (SELECT min(licence) AS licence, f FROM (SELECT licence, {_spelt(FORM.format(x=CANON))} AS f FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) v(licence, text)) GROUP BY f),
- c AS (SELECT doc_id, {CANON} AS c FROM documents),
- p AS (SELECT doc_id, 'text' AS unit, [c] AS parts FROM c
-  UNION ALL SELECT doc_id, 'line', string_split(c, chr(10)) FROM c WHERE contains(c, chr(10))
-  UNION ALL SELECT doc_id, 'paragraph', regexp_split_to_array(c, '\\n ?\\n[ \\n]*') FROM c WHERE contains(c, chr(10) || chr(10)) OR contains(c, chr(10) || ' ' || chr(10))),
- u AS (SELECT doc_id, unit, unnest(range(0, len(parts))) AS "at", unnest(parts) AS part FROM p)
-SELECT doc_id, unit, "at", licence FROM (SELECT doc_id, unit, "at", {FORM.format(x="part")} AS f FROM u) x JOIN k ON {_spelt("x.f")} = k.f
+WITH v(licence, text) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in (*KNOWN, *whole_texts()))}),
+ k AS (SELECT min(licence) AS licence, f FROM (SELECT licence, {_spelt("f")} AS f FROM (SELECT licence, unnest({BOTH.format(x=CANON)}) AS f FROM v)) WHERE f <> '' GROUP BY f),
+ c AS (SELECT row_number() OVER () AS r, doc_id, {CANON} AS c FROM documents),
+ p AS (SELECT r, doc_id, 'text' AS unit, [c] AS parts FROM c
+  UNION ALL SELECT r, doc_id, 'line', string_split(c, chr(10)) FROM c WHERE contains(c, chr(10))
+  UNION ALL SELECT r, doc_id, 'paragraph', {GAP.format(x="c")} FROM c WHERE contains(c, chr(10) || chr(10)) OR contains(c, chr(10) || ' ' || chr(10))),
+ u AS (SELECT r, doc_id, unit, unnest(range(0, len(parts))) AS "at", unnest(parts) AS part FROM p),
+ f AS (SELECT r, doc_id, unit, "at", unnest(CASE WHEN unit = 'line' THEN [{FORM.format(x="part")}] ELSE {BOTH.format(x="part")} END) AS f FROM u)
+SELECT doc_id, unit, "at", min(licence) AS licence FROM f JOIN k ON {_spelt("f.f")} = k.f GROUP BY r, doc_id, unit, "at"
 """
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from planted import edited, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioscan.llm import decontam, licences, packing, quality_model, quality_rules, secrets, sharding, token_counts
@@ -274,3 +275,88 @@ def test_labellers_are_recovered():
     assert all(abs(chance[1, k, 2] / (chance[1, k, 1] + chance[1, k, 2]) - a) < 0.02 for k, a in enumerate(accuracy))
     assert sum((posterior[p] >= 0.5) == t for t, p in truth) / len(truth) > 0.97
     assert quality_model.fit_labellers({})[0] == {}
+
+
+def test_whole_licences_at_every_width(spark):
+    """Shipped texts wrapped anew, paragraph by paragraph: where a line ends doesn't matter."""
+    import textwrap
+
+    rows, want = [], {}
+    for path in sorted(licences.TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        for width in (30, 36, 44, 60, 79, 100):
+            paragraphs = [textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in re.split(r"\n\s*\n", text.strip())]
+            want[len(rows)] = path.stem.split("~")[0]
+            rows.append((len(rows), "\n\n".join(paragraphs)))
+    got = {r.doc_id: r.licence for r in licences.licence_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("unit = 'text'").collect()}
+    assert got == want
+
+
+def test_spellings_of_neighbours(spark):
+    forms = spark.createDataFrame([("licence licence x licenced",), ("sublicence",), ("modelled licences",)], "f string")
+    assert [r[0] for r in forms.select(licences.spelt(F.col("f"))).collect()] == ["license license x licensed", "sublicense", "modeled licenses"]
+
+
+def brute_em(patterns, rounds=100):
+    """The label model in plain Python, one pattern at a time."""
+    names, k = sorted(patterns), len(next(iter(patterns)))
+    good = {p: 1 / (1 + math.exp(2.0 * p.count("0") - 2.5)) for p in names}
+    for _ in range(rounds):
+        chance = [[{v: 1.0 for v in quality_model.VOTES} for _ in range(k)] for _ in range(2)]
+        for p in names:
+            for j, v in enumerate(p):
+                chance[1][j][v] += patterns[p] * good[p]
+                chance[0][j][v] += patterns[p] * (1 - good[p])
+        for side in chance:
+            for table in side:
+                total = sum(table.values())
+                for v in table:
+                    table[v] /= total
+        share = sum(patterns[p] * good[p] for p in names) / sum(patterns.values())
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        new = {}
+        for p in names:
+            odds = math.log(share / (1 - share)) + sum(math.log(chance[1][j][v] / chance[0][j][v]) for j, v in enumerate(p))
+            new[p] = 1 / (1 + math.exp(-odds))
+        moved = max(abs(new[p] - good[p]) for p in names)
+        good = new
+        if moved < 1e-9:
+            break
+    return good
+
+
+def test_label_model_against_brute_force():
+    r = random.Random(9)
+    patterns = {}
+    for _ in range(600):
+        p = "".join(r.choices("10-", (6, 2, 2), k=quality_model.LABELLERS))
+        patterns[p] = patterns.get(p, 0) + 1
+    got, want = quality_model.fit_labellers(patterns)[0], brute_em(patterns)
+    assert max(abs(got[p] - want[p]) for p in patterns) < 1e-6
+
+
+def test_scorer_against_brute_force():
+    r = random.Random(10)
+    rows = []
+    for _ in range(40):
+        index = sorted(r.sample(range(quality_model.PLAIN, quality_model.PLAIN + 50), 6))
+        rows.append((r.random(), np.array(sorted(r.sample(range(quality_model.PLAIN), 5))), np.array(index), np.array([r.random() for _ in index])))
+    weights, power = [0.0] * (quality_model.DIMENSIONS + 1), [1e-2] * (quality_model.DIMENSIONS + 1)
+    order = np.random.default_rng(7)
+    for _ in range(8):
+        for k in order.permutation(len(rows)):
+            target, bins, index, share = rows[k]
+            z = sum(weights[i] for i in bins) + sum(weights[i] * s for i, s in zip(index, share, strict=True)) + weights[-1]
+            step = 1 / (1 + math.exp(-z)) - target
+            changes = [(i, step + 1e-6 * weights[i]) for i in bins] + [(i, step * s + 1e-6 * weights[i]) for i, s in zip(index, share, strict=True)] + [(quality_model.DIMENSIONS, step)]
+            for i, g in changes:
+                power[i] += g * g
+                weights[i] -= 0.5 * g / math.sqrt(power[i])
+    assert np.abs(quality_model.train(rows) - np.array(weights)).max() < 1e-9
+
+
+def test_quality_model_of_repeated_rows(spark):
+    """A single row that stands many times is still trained on: its score follows its posterior."""
+    docs = spark.createDataFrame([(1, "one two three " * 9)], "doc_id long, text string").crossJoin(spark.range(3000)).drop("id")
+    rows = quality_model.classify(docs, sample=100).distinct().collect()
+    assert len(rows) == 1 and rows[0].score < 0.5 and not rows[0].kept and rows[0].posterior < 0.5
