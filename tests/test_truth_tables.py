@@ -1,15 +1,141 @@
-"""Queries over inline fixtures for operators whose input isn't among the tables; the SQL states the rows that must come out."""
+"""Truth tables of operators over inline fixtures: every case states the rows that must come out, as SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import duckdb
+import pytest
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscan.functions import replies
 from folioscan.functions import text as T
 from folioscan.operators import coverage, identity, journal, ledger, publication, reading, wiki, witness
-from folioscan.plans.catalog import query
-from folioscan.plans.fixture_queries import rows_sql
+
+CASES: dict[str, tuple[Callable, str]] = {}
+
+
+def query(sql: str):
+    """A case with the SQL of its rows."""
+
+    def add(f):
+        CASES[f.__name__] = f, sql
+        return f
+
+    return add
+
+
+SOURCE = (
+    "the sailors mended what the storm had torn—knots, nets and all, for winter was near. He is not idle, but a patient man, slow and sure. "
+    "Nine of my company went ashore who were the strongest and the bravest of all. carrying the captain&#39;s letters."
+)
+#: (excerpt, whether it is grounded in SOURCE)
+TRUTH = (
+    ("Nine of my company went ashore who were the strongest", True),
+    ("the storm had torn —knots, nets and all", True),
+    ("carrying the captain's letters", True),
+    ("carrying the captain's letters.”", True),
+    ("He is not idle,   but a patient man, slow and sure", True),
+    ("He is idle, but a patient man, slow and sure", False),
+    ("Ten of my company went ashore who were the strongest", False),
+    ("ashore went Nine of my company who were the strongest", False),
+    ("the captain burned the letters", False),
+    ("", False),
+    ("...", False),
+)
+
+
+def rows_sql(rows: list[tuple]) -> str:
+    literal = lambda x: "NULL" if x is None else str(x) if isinstance(x, (bool, int)) else "'" + x.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+
+
+@query(f"SELECT * FROM (VALUES {rows_sql([(i, t) for i, (_, t) in enumerate(TRUTH)])}) v(id, is_grounded)")
+def grounding_truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(i, e, SOURCE) for i, (e, _) in enumerate(TRUTH)], "id int, excerpt string, source string")
+    folded = rows.select("id", T.fold(F.col("excerpt")).alias("n"), T.fold(F.col("source")).alias("h"))
+    plain = folded.withColumn("plain", T.grounded(F.col("n"), F.col("h")))
+    return plain.select("id", (F.col("plain") | F.coalesce(T.elided_udf(T.trim_quotes(F.col("n")), F.col("h")), F.lit(False))).alias("is_grounded"))
+
+
+WITNESSES = [
+    ("c1", "Aen.1.1", "w1", "1.1-5", "Ann", "arms and the man I sing", None),
+    ("c2", "Aen.1.1", "w1", "1.1-5", "Ann", "weapons and a man", "excerpt not verbatim"),
+    ("c3", "Aen.1.1", "lat", "1.1", "Ann", "arma virumque cano", "not a translation witness"),
+    ("c4", "Aen.2.9", "w1", "1.1", "Ann", "arms and the man I sing", "locator book differs"),
+    ("c5", "Aen.1.1", "w9", "1.1", "Ann", "x", "witness source not in ledger"),
+    ("c6", "Aen.1.1", "w1", "somewhere", "Ann", "arms and the man I sing", "locator unparseable"),
+    ("c7", "Aen.5.1", "w1", "BOOK V, 1", "Ann", "arms and the man I sing", "no alignment"),
+    ("c8", "Aen.1.1", "w1", "1; 1", "Bob", "arms and the man I sing", "translator not in sources"),
+]
+
+
+@query(f"SELECT * FROM (VALUES {rows_sql([(w[0], w[-1]) for w in WITNESSES if w[-1]] + [('c3', 'no alignment')])}) v(claim_id, \"check\")")
+def witness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = spark.createDataFrame([w[:-1] for w in WITNESSES], "claim_id string, locator string, source_id string, w_locator string, translator string, excerpt string")
+    claims = flat.select("claim_id", "locator", F.struct("source_id", F.col("w_locator").alias("locator"), "excerpt", "translator").alias("witness"))
+    sources = spark.createDataFrame([("w1", "translation", "Ann", "Arms and the man I sing, who first"), ("lat", "canonical", "Vergil", "arma virumque cano")], "source_id string, role string, translator string, text string")
+    alignment = spark.createDataFrame([(1, {"ann": {"source_id": "w1", "aligned_to": ""}}), (2, {"Ann": {"source_id": "w1", "aligned_to": "Aen.2.1-"}})], "book int, witnesses map<string,struct<source_id:string,aligned_to:string>>")
+    return witness.witness_violations(claims, sources, witness.aligned(alignment))
+
+
+PAGES = [
+    ("index.md", "See [[concepts/fate]] and [[fate|Fate]] and [[missing]] [a](concepts/fate.md) [b](../out.md) [c](https://x.y/z) [d](<concepts/no file.md>)"),
+    ("concepts/fate.md", "Back to [[index]] [[../index]] [up](../index.md#top) [self](./fate.md) [gone](other.md)"),
+    ("sources/raw.md", "[[nowhere]]"),
+]
+
+
+def wiki_pages(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PAGES, "path string, text string")
+
+
+@query("SELECT * FROM (VALUES ('index.md', 'missing'), ('concepts/fate.md', '../index')) v(path, raw)")
+def wikilink_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wiki.dead_wikilinks(wiki.semantic(wiki_pages(spark), "path"), "path", "text")
+
+
+@query("SELECT * FROM (VALUES ('index.md', 'fate|Fate'), ('index.md', 'missing'), ('concepts/fate.md', '../index')) v(path, raw)")
+def wikilink_audit_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wiki.dead_wikilinks(wiki.semantic(wiki_pages(spark), "path"), "path", "text", exact=True)
+
+
+@query("SELECT * FROM (VALUES ('index.md', '../out.md', 'escapes wiki'), ('index.md', 'concepts/no file.md', 'missing target'), ('concepts/fate.md', 'other.md', 'missing target')) v(path, target, \"check\")")
+def local_link_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wiki.dead_links(wiki.semantic(wiki_pages(spark), "path"), wiki_pages(spark), "path", "text")
+
+
+@query("SELECT * FROM (VALUES (1, 'missing keys', 'confidence,stance'), (3, 'missing keys', 'claim,claim_id,confidence,excerpt,independence_group,locator,note,source_ids,stance,verified_at')) v(line, \"check\", missing)")
+def required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = [k for k in ledger.CLAIM_KEYS if k not in ("stance", "confidence")]
+    some = "{" + ", ".join(f'"{k}": null' for k in keys) + "}"
+    full = "{" + ", ".join(f'"{k}": 1' for k in ledger.CLAIM_KEYS) + "}"
+    raw = spark.createDataFrame([(1, some), (2, full), (3, "[]")], "line int, raw string")
+    return ledger.missing_keys(raw, "raw", "line", ledger.CLAIM_KEYS).select("line", F.lit("missing keys").alias("check"), "missing")
+
+
+PACKETS = [
+    ("w1", 0, "a claim", "f", "1", "words", "supports"),
+    ("w1", 1, "...", "TBD", None, "…", "supports"),
+    ("w1", 2, "b", "f", "2", " ", "agrees"),
+    ("w2", 0, "c", "f", "1", "w", "qualifies"),
+]
+
+
+@query("""SELECT * FROM (VALUES ('w1', 'missing locator', 2::BIGINT), ('w1', 'placeholder echo', 2), ('w1', 'missing excerpt', 3), ('w1', 'non-concrete stance', 3), ('w3', 'zero claims', NULL), ('w4', 'not an object', NULL), ('w5', 'no claims list', NULL)) v(worker, "check", ordinal)""")
+def packet_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame(PACKETS, "worker string, pos int, claim string, source_file string, locator string, excerpt string, stance string")
+    packets = spark.createDataFrame([("w1", True, True), ("w2", True, True), ("w3", True, True), ("w4", False, False), ("w5", True, False)], "worker string, is_object boolean, has_list boolean")
+    return ledger.packet_defects(rows, packets)
+
+
+STATES = [("r1", s, i) for i, s in enumerate(journal.STATES)] + [("r2", "PLANNING", 0), ("r2", "COMPILING", 1), ("r2", "FAILED", 2), ("r3", "RESEARCHING", 0), ("r3", "FAILED", 1), ("r3", "FAILED", 2)]
+
+
+@query("SELECT * FROM (VALUES ('r2', 'COMPILING', 1), ('r3', 'RESEARCHING', 0), ('r3', 'FAILED', 2)) v(run, state, seq)")
+def illegal_state_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return journal.illegal_transitions(spark.createDataFrame(STATES, "run string, state string, seq int"), "run", "seq", "state")
 
 
 def values(columns: str, *rows: tuple) -> str:
@@ -170,12 +296,6 @@ def reading_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.budget(assigned, spark.createDataFrame([("a", 10), ("b", 5), ("c", 2)], "section_id string, tokens int"))
 
 
-@query("SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^ ]', '', 'g')) + 1 AS tokens FROM documents")
-def token_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A counter that is given: here one token for each part between blanks."""
-    return reading.with_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), "text", lambda x: F.size(F.split(x, " ", -1))).select("doc_id", "tokens")
-
-
 # identities and histories
 
 EVENTS = "claim_id string, event string, new_excerpt string, reason string, attempt_id string, state_before string, state_after string, source_file string, source_revision string"
@@ -193,10 +313,7 @@ def drop_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(values("claim_id, side", ("b", "left"), ("d", "right"), ("x", "new")))
 def unaccounted_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [_names(spark, "claim_id", x) for x in ("abcd", "adx", "cd")]
-    found = identity.unaccounted(*names)
-    sides = [r[0] for r in found.select("side").distinct().orderBy("side").collect()]
-    return found.replace({s: n for s, n in zip([x for x in sides if x != "new"], ("left", "right"), strict=False)}, subset="side")
+    return identity.unaccounted(*(_names(spark, "claim_id", x) for x in ("abcd", "adx", "cd")))
 
 
 @query(values("worker, binding, incompatible", ("a", "b1", False), ("b", "b2", True)))
@@ -432,3 +549,12 @@ def sorted_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(values("id, md", (0, "see [a](a.md) and [title](b.md)"), (1, "[c](c.md)")))
 def relative_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_each(spark, "t", "string", ["see [[a]] and [[b#part|title]]", "[[c#x]]"], wiki.relative_links(F.col("t")), "md")
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_case(spark, name):
+    f, sql = CASES[name]
+    df, want = f(spark, ""), duckdb.connect().sql(sql)
+    assert sorted(df.columns) == sorted(want.columns)
+    at = [want.columns.index(c) for c in df.columns]
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=repr)
