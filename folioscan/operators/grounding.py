@@ -93,15 +93,3 @@ def occurrences(pairs: DataFrame, text: str, quote: str) -> DataFrame:
     first = F.position(F.col(quote), F.col(text))
     later = F.position(F.col(quote), F.col(text), first + 1)
     return pairs.withColumn("at", first.cast("long")).withColumn("unique", (first > 0) & (later == 0))
-
-
-def citing(sections: DataFrame, pages: DataFrame, target: str, path: str, body: str) -> DataFrame:
-    """target, pages: the paths of the pages that hold each target, sorted; targets that none holds have none."""
-    found = containment_pairs_exact(pages, sections, path, body, target)
-    grouped = found.groupBy(target).agg(F.sort_array(F.collect_set(path)).alias("pages"))
-    return sections.select(target).distinct().join(grouped, target, "left").withColumn("pages", F.coalesce("pages", F.array().cast("array<string>")))
-
-
-def containment_pairs_exact(pages: DataFrame, needles: DataFrame, path: str, body: str, needle: str) -> DataFrame:
-    """(path, needle) where the body holds the needle as it is; needles are the small side, broadcast by Spark's own limit."""
-    return pages.join(needles.select(needle).distinct(), F.col(body).contains(F.col(needle))).select(path, needle)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from folioscan.functions.text import squeezed, unspaced
-from folioscan.operators.checks import defects, duplicates, union, violation
+from folioscan.operators.checks import defects, duplicates, union
 
 #: Fixed values.
 STANCES = ("supports", "qualifies", "contradicts")
@@ -182,7 +182,3 @@ def visual_disposition(records: DataFrame) -> DataFrame:
     full = F.bool_and(F.col("derivative").isNotNull())
     state = F.when(F.count("asset") == 0, "no-visuals").when(full, "available").otherwise("incomplete-optional")
     return records.groupBy("bundle_key").agg(state.alias("disposition"))
-
-
-def blank_excerpts(claims: DataFrame) -> DataFrame:
-    return violation(claims, "blank excerpt", F.col("claim_id"), F.col("locator"), blank(F.col("excerpt")))

@@ -73,10 +73,6 @@ def foreign_citations(links: DataFrame, frozen: DataFrame) -> DataFrame:
     return joined.select("path", "file", "fragment", check.alias("check")).where("check IS NOT NULL")
 
 
-def naturally_sorted(df: DataFrame, name: str) -> DataFrame:
-    return df.orderBy(natural_key(F.col(name)), name)
-
-
 def sorted_bullets(lines: DataFrame, page: str, at: str, body: str) -> DataFrame:
     """page, at, body: runs of bullets with wikilinks in natural order without regard to case; other lines stay in place."""
     bullet = F.coalesce(F.col(body).rlike(r"\A\s*-\s*\[\["), F.lit(False))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscan.operators import bundles, gates
 from folioscan.plans.catalog import query, table
+from folioscan.sources import journal
 from folioscan.sources.scratch import folder
 from folioscan.streaming import acceptance
 
@@ -103,3 +104,27 @@ def _gates(spark: SparkSession, sf_dir: str) -> list[gates.Gate]:
         gates.Gate("sources", table(spark, sf_dir, "documents"), c("doc_id"), {"empty": F.trim(F.coalesce("text", F.lit(""))) == "", "no language": c("lang").isNull()}),
         gates.Gate("attempts", table(spark, sf_dir, "events"), c("event_id"), {"costly error": (c("event_type") == "error") & (c("value") > 190)}),
     ]
+
+
+@query("""SELECT event_id AS id, user_id AS run, event_type AS outcome, (event_id % 40)::BIGINT AS prompt_tokens, CASE WHEN event_id % 3 > 0 THEN (event_id % 7)::BIGINT END AS completion_tokens, CASE WHEN event_id % 4 > 0 THEN event_id % 40 + event_id % 7 END AS total_tokens, event_id % 4 = 0 AS unknown FROM events WHERE event_id >= 100 AND event_id < (SELECT max(event_id) FROM events) - 100""")
+def journal_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as journals, written by the tasks and read back in ranges of ids, of which bounds leave some out."""
+    at = folder(spark)
+    k = F.col("event_id")
+    part = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f', "{name}": '), value.cast("string"))).otherwise("")
+    usage = F.concat(F.lit('{"prompt_tokens": '), (k % 40).cast("string"), part("completion_tokens", F.when(k % 3 > 0, k % 7)), part("total_tokens", F.when(k % 4 > 0, k % 40 + k % 7)), F.lit("}"))
+    events = table(spark, sf_dir, "events")
+    journal.write_journals(events.select(k.alias("id"), F.col("user_id").alias("run"), F.col("event_type").alias("outcome"), usage.alias("usage")).repartitionByRange(3, "id"), at, "attempts")
+    most = events.agg(F.max("event_id").alias("m")).first()["m"] or 0
+    return journal.history(journal.journals(spark, at, "attempts", 2000, 100, most - 101))
+
+
+@query("""
+WITH f AS (SELECT page_id || CASE page_id % 5 WHEN 0 THEN '.HTML' WHEN 1 THEN '.md' WHEN 2 THEN '.pdf' WHEN 3 THEN '.txt' ELSE '' END AS name, page_id % 5 AS k FROM pages)
+SELECT name, CASE WHEN k = 1 THEN 'ambiguous' ELSE 'unsupported' END AS "check" FROM f WHERE k IN (1, 2, 4)
+""")
+def adapter_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 5
+    names = table(spark, sf_dir, "pages").select(F.concat(F.col("page_id").cast("string"), F.when(k == 0, ".HTML").when(k == 1, ".md").when(k == 2, ".pdf").when(k == 3, ".txt").otherwise("")).alias("name"))
+    registry = spark.createDataFrame([("html", ".html"), ("markdown", ".md"), ("notes", ".md"), ("text", ".txt")], "adapter string, suffix string")
+    return journal.adapter_faults(names, registry)

@@ -147,3 +147,29 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("reserved").collect())) == [(1, 1, 5.0, "ok"), (1, 2, 11.0, "budget_exhausted"), (2, 1, 0.0, "ok"), (2, 2, 20.0, "budget_exhausted")]
+
+
+def test_journals_in_ranges(spark, tmp_path):
+    from folioscan.sources import journal
+
+    rows = [(i, f"r{i % 3}", None if i % 4 else 0.5 * i, '{"total_tokens": 3}' if i % 2 else None) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "id long, run string, cost double, usage string").repartition(3)
+    folder = str(tmp_path / "j")
+    journal.write_journals(df, folder, "attempts")
+    back = journal.journals(spark, f"file://{folder}", "attempts", 10)
+    assert back.schema.simpleString() == "struct<id:bigint,run:string,cost:double,usage:string>"
+    assert sorted(map(tuple, back.collect())) == rows and back.rdd.getNumPartitions() > 8
+    some = journal.journals(spark, folder, "attempts", 10, 41, 60)
+    assert sorted(r.id for r in some.where("run = 'r1'").collect()) == [i for i in range(41, 61) if i % 3 == 1]
+    assert 0 < some.rdd.getNumPartitions() < 12 and back.where("id > 1000").count() == 0
+    assert journal.journals(spark, folder, "attempts", 10, 1000).count() == 0
+    known = journal.history(back)
+    assert known.where("unknown").count() == 50 and known.columns == ["id", "run", "cost", "prompt_tokens", "completion_tokens", "total_tokens", "unknown"]
+
+
+def test_adapters(spark):
+    from folioscan.sources import journal
+
+    names = spark.createDataFrame([("a.HTML",), ("b.md",), ("c",), ("d.x.txt",)], "name string")
+    registry = spark.createDataFrame([("html", ".html"), ("m", ".md"), ("n", ".md"), ("t", ".txt"), ("t", ".txt")], "adapter string, suffix string")
+    assert sorted(map(tuple, journal.adapter_faults(names, registry).collect())) == [("b.md", "ambiguous"), ("c", "unsupported")]
