@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from folioscan.functions.digest import sha256
 from folioscan.operators.checks import set_differences, union
+from folioscan.operators.ranks import ranked
 
 
 def ordinal_ids(claims: DataFrame, worker: str, pos: str) -> DataFrame:
@@ -104,10 +105,12 @@ def synchronised(ledger: DataFrame, live: DataFrame, drops: DataFrame) -> tuple[
 
 
 def positional_differences(a: DataFrame, b: DataFrame, order: str, value: str) -> DataFrame:
-    """at, left, right of two tables compared row by row in the order of a column; a missing row differs."""
-    rank = F.row_number().over(Window.orderBy(order))
-    left = a.select(rank.alias("at"), F.col(value).alias("left"), F.lit(True).alias("_fs_l"))
-    right = b.select(rank.alias("at"), F.col(value).alias("right"), F.lit(True).alias("_fs_r"))
+    """at, left, right of two tables compared row by row in the order of a column; a missing row differs.
+
+    Ranks are taken over ranges of the order, so no task holds a whole table.
+    """
+    left = ranked(a.select(order, F.col(value).alias("left")), [], [F.col(order)], "at").select(F.col("at").cast("int").alias("at"), "left", F.lit(True).alias("_fs_l"))
+    right = ranked(b.select(order, F.col(value).alias("right")), [], [F.col(order)], "at").select(F.col("at").cast("int").alias("at"), "right", F.lit(True).alias("_fs_r"))
     both = left.join(right, "at", "full_outer")
     return both.where(F.col("_fs_l").isNull() | F.col("_fs_r").isNull() | ~F.col("left").eqNullSafe(F.col("right"))).select("at", "left", "right")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscan.functions import text as T
 from folioscan.functions.digest import quoted
-from folioscan.operators import checks, coverage, identity, journal, ledger
+from folioscan.operators import checks, coverage, identity, journal, ledger, ranks
 from folioscan.plans.catalog import query, table
 
 LABELLED = "SELECT doc_id, quality, toxic FROM labels"
@@ -191,11 +191,9 @@ SELECT n, row_number() OVER (ORDER BY k, n) AS rank FROM (SELECT c_name || '-' |
  array_to_string(list_transform(regexp_extract_all(c_name || '-' || (c_custkey % 120), '(\\d+|\\D+)'), lambda p: CASE WHEN regexp_matches(p, '^\\d') THEN lpad(ltrim(p, '0'), 20, '0') ELSE p END), '') AS k FROM customer)
 """)
 def natural_sort_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names in natural order with their rank; a report's order, taken in one task over names alone."""
-    from pyspark.sql import Window
-
+    """Names in natural order with their rank, taken over ranges of the order."""
     rows = table(spark, sf_dir, "customer").select(F.concat_ws("-", "c_name", F.col("c_custkey") % 120).alias("n")).withColumn("k", T.natural_key(F.col("n")))
-    return rows.select("n", F.row_number().over(Window.orderBy("k", "n")).cast("long").alias("rank"))
+    return ranks.ranked(rows, [], [F.col("k"), F.col("n")]).select("n", "rank")
 
 
 @query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug, regexp_matches(p_name, '^[A-Za-z0-9][A-Za-z0-9_-]{0,127}$') AS is_safe FROM part")
