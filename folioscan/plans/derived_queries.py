@@ -202,7 +202,7 @@ def required_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Excerpts of benchmark passages as they are, wrapped, with an elided gap, or with words changed.
-EXCERPTS = "SELECT item_id, text, CASE WHEN item_id % 4 = 0 THEN replace(text, ' ', chr(10) || ' ') WHEN item_id % 4 = 1 THEN upper(text) WHEN item_id % 4 = 2 THEN 'Nowhere ' || text ELSE '' END AS excerpt FROM {benchmark}"
+EXCERPTS = "SELECT item_id, text, CASE WHEN item_id % 4 = 0 THEN replace(text, ' ', chr(10) || ' ') WHEN item_id % 4 = 1 THEN lower(text) WHEN item_id % 4 = 2 THEN 'Nowhere ' || text ELSE '' END AS excerpt FROM {benchmark}"
 
 
 @query(duck("SELECT item_id, item_id % 4 < 2 AS is_grounded FROM e", e=EXCERPTS))
@@ -598,7 +598,7 @@ def assembled_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return witness.assembled(claims, rows(spark, sf_dir, CANDIDATES), rows(spark, sf_dir, CHOICES))
 
 
-VERBATIM = "SELECT page_id, html AS t, CASE WHEN page_id % 4 = 0 THEN '<b>' || upper(substr(html, 400, 12)) || '</b>' WHEN page_id % 4 = 1 THEN '  ' WHEN page_id % 4 = 2 THEN 'zzz qqq' ELSE substr(html, 1, 200) END AS e FROM {pages}"
+VERBATIM = "SELECT page_id, html AS t, CASE WHEN page_id % 4 = 0 THEN '<b>' || substr(html, 400, 12) || '</b>' WHEN page_id % 4 = 1 THEN '  ' WHEN page_id % 4 = 2 THEN 'zzz qqq' ELSE substr(html, 1, 200) END AS e FROM {pages}"
 VISIBLE = r"lower(trim(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')))"
 
 
