@@ -156,7 +156,7 @@ def bracket_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir, LABELLED).select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(T.labels(F.col("t")), ",").alias("found"))
 
 
-STEMS = "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'odyssey-book-0' || p_partkey WHEN p_partkey % 3 = 1 THEN 'book' || p_partkey ELSE 'the-sea-and-sky' END AS stem FROM {part}"
+STEMS = "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'epic-book-0' || p_partkey WHEN p_partkey % 3 = 1 THEN 'book' || p_partkey ELSE 'the-sea-and-sky' END AS stem FROM {part}"
 
 
 @query(duck("SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN 'The Sea And Sky' ELSE 'Book ' || p_partkey END AS name FROM s", s=STEMS))

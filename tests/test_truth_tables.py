@@ -234,7 +234,7 @@ def bracket_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(values("id, name", (0, "Book 3"), (1, "Book 12"), (2, "The Sea")))
 def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return one_each(spark, "t", "string", ["book-03", "odyssey-book-12", "the-sea"], T.display_name(F.col("t")), "name")
+    return one_each(spark, "t", "string", ["book-03", "epic-book-12", "the-sea"], T.display_name(F.col("t")), "name")
 
 
 @query(values("id, packet", (0, '{"claims": [1]}'), (1, '{"claims": []}'), (2, '{"a": {"claims": [2]}}'), (3, None), (4, '{"claims": [3]}')))
