@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -51,24 +52,31 @@ def overlaps(spans: DataFrame, group: list[str], first: str, last: str) -> DataF
 def packed(sections: DataFrame, doc: str, pos: str, tokens: str, target: int) -> DataFrame:
     """sections with reading (0-based): greedy groups in order, a new one when the sum would pass the target.
 
-    A section above the target by itself stays whole. Where a group starts
-    depends on the one before, so that is one fold over each document's
-    ordered array, which keeps the starts only; the numbers are a running count of them.
+    A section above the target by itself stays whole; null tokens count as none.
+    Where a group starts depends on the one before, so a document's sections
+    go by in order within one task, sorted by Spark, which spills, and only the
+    running sum and number are held: time is linear and memory bounded, however
+    long a document is. Documents are dealt by hash; many share a task.
     """
-    state = "struct<starts:array<bigint>,sum:bigint>"
-
-    def step(a: Column, x: Column) -> Column:
-        fresh = a["sum"].isNull() | ((a["sum"] > 0) & (a["sum"] + x["tokens"] > target))
-        total = F.when(fresh, x["tokens"]).otherwise(a["sum"] + x["tokens"])
-        return F.struct(F.when(fresh, F.concat(a["starts"], F.array(x["pos"]))).otherwise(a["starts"]).alias("starts"), total.alias("sum")).cast(state)
-
-    rows = sections.select(doc, F.col(pos).cast("long").alias(pos), F.col(tokens).cast("long").alias(tokens))
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(tokens).alias("tokens"))))
-    none = F.struct(F.array().cast("array<bigint>").alias("starts"), F.lit(None).cast("long").alias("sum")).cast(state)
-    folded = rows.groupBy(doc).agg(ordered.alias("_fs_rows")).select(doc, F.explode(F.aggregate("_fs_rows", none, step, lambda a: a["starts"])).alias(pos), F.lit(1).alias("_fs_start"))
-    marked = rows.join(folded, [doc, pos], "left")
-    upto = Window.partitionBy(doc).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    return marked.select(doc, pos, tokens, (F.sum(F.coalesce("_fs_start", F.lit(0))).over(upto) - 1).cast("long").alias("reading"))
+    rows = sections.select(F.col(doc), F.col(pos).cast("long").alias(pos), F.coalesce(F.col(tokens).cast("long"), F.lit(0)).alias(tokens))
+    kind = rows.schema[doc].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total, reading = object(), 0, 0
+        for batch in batches:
+            numbers = []
+            for d, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if d != current:
+                    current, total, reading = d, n, 0
+                elif total > 0 and total + n > target:
+                    total, reading = n, reading + 1
+                else:
+                    total += n
+                numbers.append(reading)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], [*batch.schema.names, "reading"])
+
+    ordered = rows.repartition(doc).sortWithinPartitions(doc, pos, tokens)
+    return ordered.mapInArrow(run, f"`{doc}` {kind}, `{pos}` bigint, `{tokens}` bigint, reading bigint")
 
 
 def with_tokens(rows: DataFrame, text: str, counter: Callable[[Column], Column], name: str = "tokens") -> DataFrame:
@@ -86,15 +94,59 @@ def running_groups(sections: DataFrame, doc: str, pos: str, tokens: str) -> Data
     return sections.withColumn("before", F.coalesce(F.sum(tokens).over(before), F.lit(0)))
 
 
+def _level(first: str, last: str) -> Column:
+    """The smallest k with 2**k lines for a span; such a span lies in at most two bins of that width."""
+    return F.length(F.bin(F.greatest(F.col(last) - F.col(first) - 1, F.lit(0)).cast("long"))) * (F.col(last) - F.col(first) > 1).cast("int")
+
+
+def _bins(first: Column, last: Column, level: Column) -> Column:
+    """The bins of width 2**level that a span touches."""
+    width = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+    return F.sequence(F.floor(first / width), F.floor((last - 1) / width))
+
+
+def _levels(spans: DataFrame, first: str, last: str) -> DataFrame:
+    """The different levels of all spans, at most 64 rows."""
+    return F.broadcast(spans.select(_level(first, last).alias("_fs_level")).distinct())
+
+
 def point_in_span(points: DataFrame, spans: DataFrame, doc: str, point: str, first: str, last: str) -> DataFrame:
-    """Points with the span of the same document that holds them (first <= point < last)."""
-    return points.join(spans, (points[doc] == spans[doc]) & (F.col(first) <= F.col(point)) & (F.col(point) < F.col(last))).drop(spans[doc])
+    """Points with the span of the same document that holds them (first <= point < last).
+
+    Joined by document, level and bin: a span of up to 2**k lines lies in at
+    most two bins of level k, and a point in one bin of each level that there
+    is, so a long document's points don't meet all of its spans.
+    """
+    own = spans.where(F.col(first) < F.col(last)).withColumn("_fs_level", _level(first, last)).withColumn("_fs_bin", F.explode(_bins(F.col(first), F.col(last), F.col("_fs_level"))))
+    each = points.crossJoin(_levels(spans.where(F.col(first) < F.col(last)), first, last))
+    each = each.withColumn("_fs_bin", F.floor(F.col(point) / F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_fs_level"))))
+    met = each.join(own, [doc, "_fs_level", "_fs_bin"]).where((F.col(first) <= F.col(point)) & (F.col(point) < F.col(last)))
+    return met.drop("_fs_level", "_fs_bin")
 
 
 def span_intersections(a: DataFrame, b: DataFrame, doc: str) -> DataFrame:
-    """Pairs of spans (first, last) of one document that share a line."""
-    right = b.select(F.col(doc).alias("_fs_doc"), F.col("first").alias("b_first"), F.col("last").alias("b_last"))
-    return a.join(right, (F.col(doc) == F.col("_fs_doc")) & (F.greatest("first", "b_first") < F.least("last", "b_last"))).drop("_fs_doc")
+    """Pairs of spans (first, last) of one document that share a line.
+
+    The shorter span of a pair is looked up in the bins of the longer one's
+    level, which both touch at most two of, and the pair counts in the bin
+    where the later of them starts.
+    """
+    right = b.select(doc, F.col("first").alias("b_first"), F.col("last").alias("b_last"))
+    left, right = a.where("first < last"), right.where("b_first < b_last")
+
+    def dealt(rows: DataFrame, first: str, last: str, higher: DataFrame | None, least: int) -> DataFrame:
+        """Rows by the bins of their own level, or of each level of the others that is higher by at least `least`."""
+        if higher is None:
+            rows = rows.withColumn("_fs_level", _level(first, last))
+        else:
+            rows = rows.withColumn("_fs_own", _level(first, last)).crossJoin(higher).where(F.col("_fs_level") >= F.col("_fs_own") + least).drop("_fs_own")
+        return rows.withColumn("_fs_bin", F.explode(_bins(F.col(first), F.col(last), F.col("_fs_level"))))
+
+    longer_a = dealt(left, "first", "last", None, 0).join(dealt(right, "b_first", "b_last", _levels(left, "first", "last"), 0), [doc, "_fs_level", "_fs_bin"])
+    longer_b = dealt(left, "first", "last", _levels(right, "b_first", "b_last"), 1).join(dealt(right, "b_first", "b_last", None, 0), [doc, "_fs_level", "_fs_bin"])
+    both = longer_a.unionByName(longer_b)
+    start, width = F.greatest("first", "b_first"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_fs_level"))
+    return both.where((start < F.least("last", "b_last")) & (F.floor(start / width) == F.col("_fs_bin"))).select(*a.columns, "b_first", "b_last")
 
 
 def ownership(assigned: DataFrame, primary: DataFrame, section: str) -> DataFrame:

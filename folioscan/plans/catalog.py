@@ -26,4 +26,4 @@ def query(sql: str | None = None):
     return add
 
 
-from folioscan.plans import boundary_queries, corpus_queries, derived_queries, gate_queries, ledger_queries, page_queries, report_queries, tree_queries  # noqa: E402, F401
+from folioscan.plans import boundary_queries, corpus_queries, derived_queries, gate_queries, ledger_queries, page_queries, plan_queries, report_queries, tree_queries  # noqa: E402, F401
