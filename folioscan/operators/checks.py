@@ -52,6 +52,12 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.join(parent.select(F.col(parent_key).alias("_fs_key")).distinct(), F.col(key) == F.col("_fs_key"), "left_anti")
 
 
+def brief(df: DataFrame, limit: int = 10_000, limit_bytes: int = 4 << 20) -> DataFrame:
+    """df with a broadcast hint if it has at most `limit` rows of `limit_bytes` as JSON, counted no further than that; df itself beyond."""
+    n, held = df.limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))), F.lit(0))).first()
+    return F.broadcast(df) if n <= limit and held <= limit_bytes else df
+
+
 def set_differences(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """key, side ("left" or "right") of the keys that only one of two tables has."""
     left, right = a.select(key).distinct(), b.select(key).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscan.operators.checks import multiset_differences, orphans
+from folioscan.operators.checks import brief, multiset_differences, orphans
 
 
 def uncovered(covered: DataFrame, primary: DataFrame, section: str) -> DataFrame:
@@ -37,7 +37,7 @@ def closure(declared: DataFrame, referenced: DataFrame, key: str) -> DataFrame:
 
 def source_maps(books: DataFrame, variants: DataFrame, file_template: str, note_template: str) -> DataFrame:
     """source_file, note of every book and variant (both small lists of a project): {book} and {variant} are filled in."""
-    each = books.crossJoin(F.broadcast(variants))
+    each = books.crossJoin(brief(variants))
 
     def fill(template: str):
         return F.replace(F.replace(F.lit(template), F.lit("{book}"), F.col("book").cast("string")), F.lit("{variant}"), F.col("variant"))

@@ -174,3 +174,29 @@ def report_defects(failures: DataFrame, claims: DataFrame, bindings: DataFrame,
     )
     b = b.withColumn("_fs_check", check).where("_fs_check IS NOT NULL")
     return targets.unionByName(_rows(b, "packet", F.col("worker"), F.col("_fs_check")))
+
+
+def bibliography_defects(works: DataFrame) -> DataFrame:
+    """level, subject, "check" of works whose title and authors are neither given nor said to be unknown.
+
+    works: work_id, fields (map of the record's keys to variants as JSON text;
+    the text null stands for an explicit null). A title is a string or null,
+    authors are a list of strings that isn't empty, or null; none is blank.
+    """
+    title, authors = F.try_element_at("fields", F.lit("title")), F.try_element_at("fields", F.lit("authors"))
+    known = F.col("fields").isNotNull()
+    as_text = F.from_json(F.concat(F.lit('{"v":'), title, F.lit("}")), "v variant")["v"]
+    names = F.from_json(F.concat(F.lit('{"v":'), authors, F.lit("}")), "v variant")["v"]
+    kind, listed = F.schema_of_variant(as_text), F.schema_of_variant(names)
+    text = F.try_variant_get(as_text, "$", "string")
+    each = F.try_variant_get(names, "$", "array<string>")
+    rules = {
+        "no identity": F.coalesce(F.col("work_id").cast("string") == "", F.lit(True)),
+        "no record": ~known,
+        "title not stated": known & title.isNull(),
+        "authors not stated": known & authors.isNull(),
+        "title is no text": F.coalesce(title.isNotNull() & (kind != "VOID") & ((kind != "STRING") | (F.trim(text) == "")), F.lit(False)),
+        "authors are no list": F.coalesce(authors.isNotNull() & (listed != "VOID") & (~listed.startswith("ARRAY") | (F.size(each) == 0)), F.lit(False)),
+        "an author is no text": F.coalesce((listed.startswith("ARRAY") & (listed != "ARRAY<STRING>") & (F.size(each) > 0)) | F.exists(each, lambda x: F.coalesce(F.trim(x) == "", F.lit(True))), F.lit(False)),
+    }
+    return _each(works, "work", F.col("work_id"), rules)

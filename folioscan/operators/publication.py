@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscan.functions.text import unsafe_path
-from folioscan.operators.checks import multiset_differences, tree_changes, union
+from folioscan.operators.checks import brief, multiset_differences, tree_changes, union
 
 #: Suffixes of images that may be published.
 IMAGES = (".png", ".jpg", ".jpeg", ".gif", ".webp")
@@ -86,7 +86,7 @@ def snapshot_gaps(names: DataFrame, name: str, pattern: str, books: DataFrame, v
     parsed = names.select(name, book.alias("_fs_book"), variant.alias("variant"))
     strange = parsed.where("_fs_book = ''").select(F.lit("unexpected file").alias("check"), F.col(name).alias("detail"))
     held = parsed.where("_fs_book <> ''").select(F.col("_fs_book").cast("int").alias("book"), "variant").distinct()
-    lack = books.crossJoin(F.broadcast(variants)).join(held, ["book", "variant"], "left_anti")
+    lack = books.crossJoin(brief(variants)).join(held, ["book", "variant"], "left_anti")
     return strange.unionByName(lack.select(F.lit("missing witness file").alias("check"), F.concat_ws("/", F.col("book").cast("string"), "variant").alias("detail")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioscan.operators import plan
 from folioscan.plans.catalog import query
@@ -115,3 +116,18 @@ UNION ALL SELECT 'packet', CAST(worker AS VARCHAR), CASE WHEN h.worker IS NULL T
 """, f=FAILURES, c=PRESENT, b=BOUND, h=HELD))
 def report_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.report_defects(*(rows(spark, sf_dir, x) for x in (FAILURES, PRESENT, BOUND, HELD)))
+
+
+RECORDS = """SELECT c_custkey AS work_id, CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'null' WHEN c_custkey % 11 = 0 THEN '" "' WHEN c_custkey % 7 = 0 THEN '7' ELSE '"' || c_name || '"' END AS title,
+ CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 10 = 0 THEN 'null' WHEN c_custkey % 9 = 0 THEN '[]' WHEN c_custkey % 8 = 0 THEN '["a", ""]' WHEN c_custkey % 6 = 0 THEN '"' || c_name || '"' WHEN c_custkey % 5 = 0 THEN '["a", 1]' ELSE '["' || c_name || '"]' END AS authors FROM {customer}"""
+
+
+@query(duck("""
+SELECT 'work' AS level, CAST(work_id AS VARCHAR) AS subject, 'title not stated' AS "check" FROM w WHERE title IS NULL UNION ALL SELECT 'work', CAST(work_id AS VARCHAR), 'authors not stated' FROM w WHERE authors IS NULL
+UNION ALL SELECT 'work', CAST(work_id AS VARCHAR), 'title is no text' FROM w WHERE json_type(title) <> 'NULL' AND (json_type(title) <> 'VARCHAR' OR trim(title ->> '$') = '')
+UNION ALL SELECT 'work', CAST(work_id AS VARCHAR), 'authors are no list' FROM w WHERE json_type(authors) <> 'NULL' AND (json_type(authors) <> 'ARRAY' OR json_array_length(authors) = 0)
+UNION ALL SELECT DISTINCT 'work', CAST(work_id AS VARCHAR), 'an author is no text' FROM (SELECT work_id, unnest(from_json(authors, '["JSON"]')) AS a FROM w WHERE json_type(authors) = 'ARRAY') WHERE json_type(a) <> 'VARCHAR' OR trim(a ->> '$') = ''
+""", w=RECORDS))
+def work_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.map_filter(F.create_map(F.lit("title"), F.col("title"), F.lit("authors"), F.col("authors")), lambda _, x: x.isNotNull())
+    return plan.bibliography_defects(rows(spark, sf_dir, RECORDS).select("work_id", given.alias("fields")))

@@ -102,3 +102,12 @@ def test_readings_by_brute_force(spark):
     # a group for each section of one long document
     long = spark.range(64_000).selectExpr("1 AS doc", "id AS pos", "500 AS tokens")
     assert reading.packed(long, "doc", "pos", "tokens", 600).agg({"reading": "max"}).first()[0] == 63_999
+
+
+def test_bibliography(spark):
+    rows = [("a", {"title": '"T"', "authors": '["x"]'}), ("b", {"title": "null", "authors": "null"}), ("", {"title": '" "', "authors": "[]"}), (None, None), ("e", {"title": "[1]", "authors": '"x"'}), ("f", {"authors": '["x", null]'}), ("g", {"title": '"T"', "authors": '[" "]'}), ("h", {"title": '"T"'})]
+    got = collected(plan.bibliography_defects(spark.createDataFrame(rows, "work_id string, fields map<string,string>")))
+    assert [x[1:] for x in got] == sorted([
+        ("", "no identity"), ("", "title is no text"), ("", "authors are no list"), (None, "no identity"), (None, "no record"), ("e", "title is no text"), ("e", "authors are no list"), ("f", "title not stated"),
+        ("f", "an author is no text"), ("g", "an author is no text"), ("h", "authors not stated"),
+    ], key=lambda x: repr(("work", *x)))
