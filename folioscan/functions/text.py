@@ -31,6 +31,8 @@ GAP, GAP_MOST, HEAD_LEAST, TAIL_LEAST = r"(?:\s|[\"'`]|\[\d+[a-z]?\]|[.,;:]|-)*?
 EDGES = " \"'-.,;:"
 #: Elements whose start tag begins a new line, and elements without visible text.
 BLOCK, HIDDEN = ("br", "p", "div", "li"), ("script", "style")
+#: A character reference that is closed; HTML 5 also decodes old names that aren't ("&amp" as "&").
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 ROMAN = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5, "VI": 6, "VII": 7, "VIII": 8, "IX": 9, "X": 10, "XI": 11, "XII": 12}
 
 
@@ -58,13 +60,17 @@ def _unescape(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else html.unescape(t))
 
 
+def _unescape_closed(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else re.sub(REFERENCE, lambda m: html.unescape(m[0]), t))
+
+
 def _elided(needle: pd.Series, hay: pd.Series) -> pd.Series:
     return pd.Series([None if n is None or h is None else elided(n, h) for n, h in zip(needle, hay, strict=True)], dtype="object")
 
 
-def unescape(text: Column) -> Column:
-    """HTML entities decoded once."""
-    return F.pandas_udf(_unescape, "string")(text)
+def unescape(text: Column, closed: bool = False) -> Column:
+    """HTML entities decoded once; with `closed` only those that end in a semicolon."""
+    return F.pandas_udf(_unescape_closed if closed else _unescape, "string")(text)
 
 
 def elided_udf(needle: Column, hay: Column) -> Column:
@@ -102,17 +108,17 @@ def grounded(needle: Column, hay: Column, strict: bool = True) -> Column:
     return (needle != "") & (hay.contains(needle) | (full & hay.contains(trimmed)))
 
 
-def html_text(page: Column) -> Column:
+def html_text(page: Column, closed: bool = False) -> Column:
     """Visible text of HTML by native patterns: hidden elements, comments and tags go, block starts break lines.
 
     Entities are decoded twice by an Arrow UDF, as decoding stands before and
     after the parser's; blanks are collapsed, blank lines squeezed, ends
-    stripped.
+    stripped. closed: see unescape().
     """
     out = reduce(lambda c, tag: F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)", ""), HIDDEN, page)
     out = F.regexp_replace(out, r"(?s)<!--.*?-->|<![^>]*>|<\?[^>]*>", "")
     out = F.regexp_replace(out, rf"(?i)<({'|'.join(BLOCK)})(\s[^>]*|/)?>", "\n")
-    out = unescape(unescape(F.regexp_replace(out, r"</?[A-Za-z][^>]*>", "")))
+    out = unescape(unescape(F.regexp_replace(out, r"</?[A-Za-z][^>]*>", ""), closed), closed)
     return tidy(out)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscan.functions.digest import sha256
-from folioscan.functions.text import BLOCK, HIDDEN, markdown_text, unescape
+from folioscan.functions.text import BLOCK, HIDDEN, REFERENCE, markdown_text, unescape
 from folioscan.functions.text import tidy
 from folioscan.operators.checks import duplicates
 from folioscan.sources.epub import epub
@@ -54,9 +54,11 @@ def _parsed(page: pd.Series) -> pd.Series:
     return page.map(one)
 
 
-def html_by_parser(page: Column) -> Column:
-    """The reference form of html_text(), for pages whose markup patterns might not cover."""
-    return tidy(unescape(parsed_html(page)))
+def html_by_parser(page: Column, closed: bool = False) -> Column:
+    """The reference form of html_text(), for pages whose markup patterns might not cover; closed: see unescape()."""
+    # an ampersand that begins no closed reference is written as one, which the parser turns back
+    marked = F.regexp_replace(page, rf"&(?!{REFERENCE[1:]})", "&amp;") if closed else page
+    return tidy(unescape(parsed_html(marked), closed))
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
