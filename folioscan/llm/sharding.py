@@ -73,8 +73,9 @@ def shards(docs: DataFrame, limit_bytes: int = 16 << 20, id_col: str = "doc_id",
     shard is the bucket's hash prefix as a string of `depth` bits ("" for an
     undivided table). No bucket holds more than limit_bytes unless all its
     rows share one id, which no hash bit can split: such a bucket is divided
-    into parts of at most limit_bytes (part is 0 elsewhere; its numbers may
-    have gaps), and only a single row above the limit exceeds it. A
+    into parts of at most limit_bytes (part is 0 elsewhere, and where one row
+    has all of the bytes; its numbers may have gaps), and only a single row
+    above the limit exceeds it. A
     null text has 0 bytes; null ids hash as the empty string; an empty table
     gives an empty one.
     """
@@ -108,7 +109,10 @@ def _placed(rows: DataFrame, kept: list[str], limit_bytes: int) -> DataFrame:
     before = F.sum("n_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_bytes")
     # small rows that start in one half share a part, larger ones are parts of their own
     at = F.when(F.col("n_bytes") <= half, 2 * F.floor(before / half)).otherwise(2 * F.row_number().over(order) + 1)
-    over = single.withColumn("at", at).select(*kept, shard.alias("shard"), (F.col("deal") + F.col("deals") * F.col("at")).cast("long").alias("part"))
+    # a row with all of its bucket's bytes leaves nothing to divide; those without any fit in with it
+    whole_row = (F.col("n_bytes") == F.col("shard_bytes")) | (F.col("n_bytes") == 0)
+    part = F.when(whole_row, 0).otherwise(F.col("deal") + F.col("deals") * F.col("at"))
+    over = single.withColumn("at", at).select(*kept, shard.alias("shard"), part.cast("long").alias("part"))
     return whole.unionByName(over)
 
 
