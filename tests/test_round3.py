@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from folioscan.functions import text as T
+from folioscan.operators import reports
 from folioscan.sources import scan
 
 
@@ -11,3 +12,15 @@ def test_open_references_stay(spark):
     got = pages.select(T.html_text(F.col("html"), closed=True), scan.html_by_parser(F.col("html"), closed=True), T.html_text(F.col("html")), scan.html_by_parser(F.col("html"))).first()
     assert got[0] == got[1] == "a &&&ampb © &quot A &#66 &x"
     assert got[2] == got[3] == 'a &&&b © " A B &x'
+
+
+def test_a_common_alias_makes_no_pairs(spark):
+    names = [(str(w), "p", f"c{w}") for w in range(50)] + [("0", "q", "c0"), ("1", "q", "c0"), ("2", "s", "c2")]
+    legacy = spark.createDataFrame(names, "worker string, alias string, claim_id string")
+    failures = spark.createDataFrame([(f"f{w}", "p", str(w), None) for w in range(50)] + [("p", "p", None, None), ("q", "q", None, None), ("s", "s", None, None), ("t", "s", "1", None)], "failure string, alias string, worker string, text string")
+    none = legacy.where("false")
+    got = reports.linked(failures, none.select("worker", "claim_id"), legacy, none.select("alias", "worker", "claim_id"))
+    want = {(f"f{w}", f"c{w}", "legacy") for w in range(50)} | {("p", None, "ambiguous"), ("q", None, "ambiguous"), ("s", "c2", "legacy"), ("t", None, "unknown")}
+    assert set(map(tuple, got.collect())) == want
+    # workers meet by equality, not among all pairs with one alias
+    assert " OR " not in got._jdf.queryExecution().optimizedPlan().toString()
