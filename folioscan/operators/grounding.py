@@ -14,8 +14,8 @@ from folioscan.functions.text import elided_udf, fold, fold_text, grounded, trim
 BLOCK_BYTES = 4 << 20
 
 
-def containment_pairs(sources: DataFrame, quotes: DataFrame, source_id: str, source_text: str, quote_id: str, quote_text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(source_id, quote_id) of all pairs where the folded quotation is in the folded source.
+def containment_pairs(sources: DataFrame, quotes: DataFrame, source_id: str, source_text: str, quote_id: str, quote_text: str, block_bytes: int = BLOCK_BYTES, folded: bool = True) -> DataFrame:
+    """(source_id, quote_id) of all pairs where the folded quotation is in the folded source; without `folded`, both as they are.
 
     A scan for all quotations at once (Aho-Corasick) in place of a nested loop
     join: the work follows the length of the sources, whatever the number of
@@ -31,13 +31,13 @@ def containment_pairs(sources: DataFrame, quotes: DataFrame, source_id: str, sou
     out = None
     for k in range(blocks):
         part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        sent = spark.sparkContext.broadcast([(r[0], fold_text(r[1])) for r in part.toLocalIterator()])
-        found = sources.select(F.col(source_id).alias("s"), F.col(source_text).alias("text")).mapInArrow(_scanner(sent), f"s {kind}, q {other}")
+        sent = spark.sparkContext.broadcast([(r[0], fold_text(r[1]) if folded else r[1]) for r in part.toLocalIterator()])
+        found = sources.select(F.col(source_id).alias("s"), F.col(source_text).alias("text")).mapInArrow(_scanner(sent, folded, other == "string"), f"s {kind}, q {other}")
         out = found if out is None else out.unionByName(found)
     return out.select(F.col("s").alias(source_id), F.col("q").alias(quote_id))
 
 
-def _scanner(sent):
+def _scanner(sent, folded: bool, named: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
@@ -55,11 +55,11 @@ def _scanner(sent):
             s, q = [], []
             for at, text in zip(batch.column("s").to_pylist(), batch.column("text"), strict=True):
                 if ids and (t := text.as_py()):
-                    for needle in {x for _, x in machine.iter(fold_text(t))}:
+                    for needle in {x for _, x in machine.iter(fold_text(t) if folded else t)}:
                         s += [at] * len(ids[needle])
                         q += ids[needle]
             kinds = kinds or batch.schema.field("s").type
-            values = pa.array(q) if q else pa.array([], pa.string() if sent.value and isinstance(sent.value[0][0], str) else pa.int64())
+            values = pa.array(q) if q else pa.array([], pa.string() if named else pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(s, kinds), values], ["s", "q"])
 
     return run

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 
 from folioscan.functions.text import lines
 from folioscan.operators.checks import multiset_differences
+from folioscan.operators.grounding import containment_pairs
 
 
 def document_lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -165,11 +166,16 @@ def bindings(claims: DataFrame, assigned: DataFrame) -> DataFrame:
     """claim_id, n_spans: in how many assigned spans of its reading and file a claim's excerpt is; only one will do.
 
     claims: claim_id, reading_id, source_file, excerpt; assigned: reading_id,
-    source_file, body.
+    source_file, body. Each body is scanned once for all different excerpts
+    (a block of bounded size at a time), not once for each claim of its reading.
     """
-    spans = assigned.select(F.col("reading_id").alias("_fs_reading"), F.col("source_file").alias("_fs_file"), "body")
-    held = (F.col("reading_id") == F.col("_fs_reading")) & (F.col("source_file") == F.col("_fs_file")) & F.col("body").contains(F.col("excerpt"))
-    return claims.join(spans, held, "left").groupBy("claim_id").agg(F.count("body").alias("n_spans"))
+    keys = ["reading_id", "source_file"]
+    excerpts = claims.where("excerpt <> ''").select("excerpt").distinct().withColumn("needle", F.col("excerpt"))
+    spans = assigned.where("body IS NOT NULL").select(F.struct(*keys).alias("at"), "body")
+    held = containment_pairs(spans, excerpts, "at", "body", "excerpt", "needle", folded=False).groupBy(*[F.col(f"at.{k}") for k in keys], "excerpt").agg(F.count("*").alias("n"))
+    # an empty excerpt is in every body
+    empty = spans.groupBy(*[F.col(f"at.{k}") for k in keys]).agg(F.count("*").alias("n")).select(*keys, F.lit("").alias("excerpt"), "n")
+    return claims.join(held.unionByName(empty), [*keys, "excerpt"], "left").groupBy("claim_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_spans"))
 
 
 def quote_bytes(text: Column, at: Column, quote: Column) -> dict[str, Column]:

@@ -1,9 +1,11 @@
 """Faults that the review of round 3 found."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from folioscan.functions import text as T
-from folioscan.operators import reports
+from folioscan.operators import reading, reports
 from folioscan.sources import scan
 
 
@@ -24,3 +26,19 @@ def test_a_common_alias_makes_no_pairs(spark):
     assert set(map(tuple, got.collect())) == want
     # workers meet by equality, not among all pairs with one alias
     assert " OR " not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bindings_of_a_hot_reading(spark):
+    """Bodies are scanned for all excerpts at once; before, each claim of a reading met each of its bodies in a join."""
+    rng = random.Random(3)
+    claims = [(k % 90, rng.choice(["r", "s", None]), rng.choice(["f", "g"]), rng.choice([None, "", "a", "A", "ab", "ba b", "b\n", "é", "zz"])) for k in range(120)]
+    bodies = [(rng.choice(["r", "s", None]), rng.choice(["f", "g"]), rng.choice([None, "", "abab", "xba b\n", "éa", "AB", "abab"])) for _ in range(60)]
+    frames = spark.createDataFrame(claims, "claim_id long, reading_id string, source_file string, excerpt string"), spark.createDataFrame(bodies, "reading_id string, source_file string, body string")
+    want = {c[0]: 0 for c in claims}
+    for i, r, f, x in claims:
+        want[i] += sum(r is not None and (r, f) == b[:2] and x is not None and b[2] is not None and x in b[2] for b in bodies)
+    found = reading.bindings(*frames)
+    assert {r.claim_id: r.n_spans for r in found.collect()} == want and max(want.values()) > 5
+    assert "Contains(" not in found._jdf.queryExecution().toString()
+    empty = reading.bindings(frames[0].where("excerpt = ''"), frames[1]).collect()
+    assert empty and all(r.n_spans >= 0 for r in empty)
