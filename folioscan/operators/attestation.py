@@ -22,15 +22,16 @@ def packet_attestations(packets: DataFrame, envelopes: DataFrame, cited: DataFra
     """
     present = packets.where("has_envelope").select("worker").distinct()
     rows = envelopes.join(present, "worker", "left_semi")
-    name = F.coalesce("source_file", F.lit(""))
-    twice = rows.groupBy("worker", name.alias("source_file")).count().where("count > 1").select("worker", "source_file", F.lit("duplicate source").alias("check"))
-    need = cited.join(present, "worker", "left_semi").select("worker", name.alias("source_file")).distinct()
-    missing = need.join(rows.select("worker", name.alias("source_file")), ["worker", "source_file"], "left_anti").select("worker", "source_file", F.lit("missing source").alias("check"))
+    # entries and what is cited are counted side by side, so each pair of names is shuffled once
+    name = F.coalesce("source_file", F.lit("")).alias("source_file")
+    both = envelopes.select("worker", name, F.lit(1).alias("_entry")).unionByName(cited.select("worker", name, F.lit(0).alias("_entry")))
+    seen = both.groupBy("worker", "source_file").agg(F.sum("_entry").alias("_entries")).where("_entries <> 1").join(present, "worker", "left_semi")
+    names = seen.select("worker", "source_file", F.when(F.col("_entries") > 1, "duplicate source").otherwise("missing source").alias("check"))
     now = recomputed.select("source_file", *[F.col(f).alias(f"_now_{f}") for f in fields], F.lit(True).alias("_there"))
-    both = rows.join(now, "source_file", "left")
+    stated = rows.join(now, "source_file", "left")
     checks = [F.when(F.col("_there").isNull(), "unknown source"), *[F.when(F.col("_there") & ~F.col(f).eqNullSafe(F.col(f"_now_{f}")), f"drift: {f}") for f in fields]]
-    differ = both.select("worker", F.coalesce("source_file", F.lit("")).alias("source_file"), F.explode(F.array_compact(F.array(*checks))).alias("check"))
-    return twice.unionByName(missing).unionByName(differ)
+    differ = stated.select("worker", F.coalesce("source_file", F.lit("")).alias("source_file"), F.explode(F.array_compact(F.array(*checks))).alias("check"))
+    return names.unionByName(differ)
 
 
 def representation_defects(ledger: DataFrame, recomputed: DataFrame, id_col: str = "source_id") -> DataFrame:
