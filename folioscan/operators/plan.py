@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from folioscan.operators.checks import union
 from folioscan.operators.reading import context_defects, coverage_gaps, overlaps, ownership
+from folioscan.sources.scratch import written
 
 #: What a section may be for, and the form of a reading's id, which is its worker's too.
 DISPOSITIONS = ("primary", "context", "excluded")
@@ -58,19 +59,20 @@ def assignment_defects(readings: DataFrame, assigned: DataFrame, sections: DataF
     work_id. Primary sections must be of the reading's work and, over all
     readings, be held exactly once; context may be shared.
     """
+    # most checks read the same rows, which are joined once
+    sections = written(sections.select("section_id", "source_file", "first", "last", "disposition"))
+    held = written(assigned.join(sections, "section_id", "left"))
     several = readings.groupBy("reading_id").agg(F.count("*").alias("n"))
     names = _each(several, "reading", F.col("reading_id"), {"unsafe id": ~F.col("reading_id").rlike(READING_ID), "duplicate id": F.col("n") > 1})
     primary = assigned.where("role = 'primary'")
     empty = readings.select("reading_id").distinct().join(primary, "reading_id", "left_anti")
-    spans = sections.select("section_id", "source_file", "first", "last", "disposition")
-    held = assigned.join(spans, "section_id", "left")
     lost = held.where("source_file IS NULL").select("reading_id").distinct()
     works = sources.select("source_file", F.col("work_id").alias("_fs_work")).distinct()
     of = held.where("role = 'primary' AND source_file IS NOT NULL").join(works, "source_file", "left").join(readings.distinct(), "reading_id")
     across = of.where(~F.coalesce(F.col("_fs_work") == F.col("work_id"), F.lit(False))).select("reading_id").distinct()
     twice = overlaps(held.where("source_file IS NOT NULL"), ["reading_id", "source_file"], "first", "last").select("reading_id").distinct()
     owned = ownership(primary.select("section_id"), sections.where("disposition = 'primary'").select("section_id"), "section_id")
-    context = context_defects(spans.where("disposition = 'context'"), assigned.where("role = 'context'"), spans.where("disposition = 'excluded'"), "section_id")
+    context = context_defects(sections.where("disposition = 'context'"), assigned.where("role = 'context'"), sections.where("disposition = 'excluded'"), "section_id")
     parts = [names]
     for df, check in ((empty, "no primary section"), (lost, "unknown section"), (across, "primary section of another work"), (twice, "sections overlap")):
         parts.append(_rows(df, "reading", F.col("reading_id"), F.lit(check)))
