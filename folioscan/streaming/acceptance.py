@@ -28,17 +28,21 @@ class Acceptance(StatefulProcessor):
         self.number = handle.getValueState("number", "n long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n = self.number.get()[0] if self.number.exists() else 0
+        # each call of the state is a round trip, so a claim is asked for once a batch, and not at all of a new worker
+        before = self.number.get() if self.number.exists() else None
+        n, held = before[0] if before else 0, {}
         # the rows of a batch come in any order; seq says which was first
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
         out = []
         for seq, claim, digest in batch[["seq", "claim", "digest"]].itertuples(index=False):
-            if self.accepted.containsKey((claim,)):
-                first, ordinal = self.accepted.getValue((claim,))
+            known = held.get(claim) or (self.accepted.getValue((claim,)) if before else None)
+            if known:
+                first, ordinal = held[claim] = known
                 status = "unchanged" if first == digest else "drift"
             else:
                 n += 1
                 first, ordinal, status = digest, n, "accepted"
+                held[claim] = (digest, ordinal)
                 self.accepted.updateValue((claim,), (digest, ordinal))
             out.append((key[0], seq, claim, first, f"c-{key[0]}-{ordinal}", status))
         self.number.update((n,))
